@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
-from lexisift.functions.terms import term_counts
+from lexisift.functions.terms import keep_terms, term_counts
 from lexisift.functions.tokenizers import TOKENIZERS
 from lexisift.sources.corpus import present_columns
 from lexisift.sources.words import INLINE_WORDS, inline_words
@@ -47,10 +47,15 @@ def without_words(rows: DataFrame, words: DataFrame) -> DataFrame:
     return rows.join(words.select("term").distinct(), "term", "left_anti")
 
 
+def in_words(column: str, words: Iterable[str]) -> Column:
+    """Membership in an inlined list, parsed at once instead of built word by word."""
+    escaped = (word.replace("\\", "\\\\").replace("'", "\\'") for word in sorted(set(words)))
+    return F.expr(f"`{column}` IN ({', '.join(chr(39) + word + chr(39) for word in escaped)})")
+
+
 def term_filter(rows: DataFrame, words: Iterable[str], min_length: int) -> DataFrame:
     condition = F.length("term") >= min_length
-    words = sorted(set(words))
-    return rows.filter(condition & ~F.col("term").isin(words) if words else condition)
+    return rows.filter(condition & ~in_words("term", words) if words else condition)
 
 
 def document_terms(df: DataFrame, keep: Sequence[str], tokens: str = "tokens",
@@ -79,5 +84,4 @@ def token_lists(df: DataFrame, keep: Sequence[str], tokens: str = "tokens",
                 stop_words: Iterable[str] = (),
                 min_length: int = K.MIN_TERM_LENGTH) -> DataFrame:
     """``(keep..., tokens)`` with filtered, ordered, repeated tokens."""
-    from lexisift.functions.terms import keep_terms
     return df.select(*keep, keep_terms(F.col(tokens), stop_words, min_length).alias("tokens"))

@@ -30,5 +30,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 
 def load_all() -> dict[str, Query]:
-    from lexisift.plans import scoring  # noqa: F401
+    from lexisift.plans import (counting, evaluation, ranking, scoring, splitting,  # noqa: F401
+                                text, vocabularies)
     return QUERIES
