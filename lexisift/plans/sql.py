@@ -109,7 +109,7 @@ def chi(tokenizer: str = "translate", source: str = DOCUMENTS, variant: str = "s
 TOP = f"""top AS (
   SELECT category, rank, term, chi2 FROM (
     SELECT category, term, chi2,
-           row_number() OVER (PARTITION BY category ORDER BY chi2 DESC, term) AS rank
+           (row_number() OVER (PARTITION BY category ORDER BY chi2 DESC, term))::INTEGER AS rank
     FROM scored) WHERE rank <= {K.TOP_K})"""
 
 

@@ -20,18 +20,22 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_token_csv(spark: SparkSession, path: str, tokens: str = "reviewText_tokens",
-                   category: str = "category", columns: Sequence[str] = ()) -> DataFrame:
+                   category: str = "category", columns: Sequence[str] = (),
+                   header: bool = True) -> DataFrame:
     """Every row with its parsed ``tokens`` and a ``reject`` reason (null when valid).
 
-    Pass ``columns`` to skip header discovery. A row with another number of fields
+    Pass ``columns`` to skip header discovery, and ``header=False`` with it for files
+    without a header line. A row with another number of fields
     than the header, an empty field or an unreadable list is marked, not lost.
     """
+    if not header and not columns:
+        raise ValueError("files without a header need the column names")
     names = list(columns) or csv_columns(spark, path)
     for name in (tokens, category):
         if name not in names:
             raise ValueError(f"column {name!r} is not in the header {names}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    rows = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+    rows = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .option("quote", '"').option("escape", '"').option("multiLine", False).csv(path))
     parsed = rows.withColumn("parsed_tokens", parse_list_literal(F.col(tokens)))
