@@ -30,6 +30,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 
 def load_all() -> dict[str, Query]:
-    from lexisift.plans import (counting, evaluation, features, ranking, scans,  # noqa: F401
-                                scoring, splitting, text, vocabularies)
+    from lexisift.plans import (counting, evaluation, features, models, ranking,  # noqa: F401
+                                scans, scoring, splitting, text, vocabularies)
     return QUERIES
