@@ -26,7 +26,7 @@ def linear_svm(features: str = "features", label: str = "label",
                      regParam=reg_param, standardization=standardization)
 
 
-def one_vs_rest(svm: LinearSVC, parallelism: int = 1) -> OneVsRest:
+def one_vs_rest(svm: LinearSVC, parallelism: int = PARALLEL_FITS) -> OneVsRest:
     return OneVsRest(classifier=svm, featuresCol=svm.getFeaturesCol(),
                      labelCol=svm.getLabelCol(), parallelism=parallelism)
 

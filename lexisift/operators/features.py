@@ -113,6 +113,15 @@ def fit_features(documents: DataFrame, spec: FeatureSpec = FeatureSpec(),
     return Features(PipelineModel(counting.stages + weighting.stages), weighting.transform(counted))
 
 
+def training_frame(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns that fitting needs, as an evenly sized table of their own.
+
+    Tuning scans its input hundreds of times, so it reads this instead of running the
+    feature stages each time.
+    """
+    return durable(frame.select(*columns), "training", rebalance=True)
+
+
 def reselect(features: Features, selected: int, output: str = "heavy_features",
              fit_on: Column | None = None) -> DataFrame:
     """The same TF-IDF vectors reduced to another number of terms, L2-normalized."""

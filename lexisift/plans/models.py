@@ -22,6 +22,8 @@ REG_PARAM = (0.01, 0.1)
 STANDARDIZATION = (True,)
 FOLDS = 2
 
+COLUMNS = ["doc_id", "split", "category", "label"]
+
 _MODELS: dict[tuple, object] = {}
 
 
@@ -47,6 +49,11 @@ def features(spark: SparkSession, folder: str) -> X.Features:
     return _once(spark, folder, "features", build)
 
 
+def training(spark: SparkSession, folder: str) -> DataFrame:
+    return _once(spark, folder, "training", lambda: X.training_frame(
+        features(spark, folder).frame, COLUMNS + ["features"]))
+
+
 def _part(frame: DataFrame, name: str) -> DataFrame:
     return frame.filter(F.col("split") == name)
 
@@ -61,12 +68,12 @@ def _grid(svm):
 
 def baseline(spark: SparkSession, folder: str):
     return _once(spark, folder, "baseline", lambda: C.normalized_classifier(
-        _svm(), "features").fit(_part(features(spark, folder).frame, "train")))
+        _svm(), "features").fit(_part(training(spark, folder), "train")))
 
 
 def tuned(spark: SparkSession, folder: str):
     def build():
-        train = S.assign_folds(_part(features(spark, folder).frame, "train"), "doc_id", FOLDS)
+        train = S.assign_folds(_part(training(spark, folder), "train"), "doc_id", FOLDS)
         svm = _svm()
         return C.cross_validate(C.normalized_classifier(svm, "features"), _grid(svm), train,
                                 folds=FOLDS, fold_column="fold")
@@ -76,9 +83,9 @@ def tuned(spark: SparkSession, folder: str):
 @query("svm_ovr_predict")
 def predict(spark, folder):
     """Predicted category of every test document."""
-    fitted = features(spark, folder)
-    predictions = baseline(spark, folder).transform(_part(fitted.frame, "test"))
-    return C.with_predicted_category(predictions, fitted.labels).select(
+    labels = features(spark, folder).labels
+    predictions = baseline(spark, folder).transform(_part(training(spark, folder), "test"))
+    return C.with_predicted_category(predictions, labels).select(
         "doc_id", "category", "predicted_category")
 
 
@@ -94,7 +101,7 @@ def best_params(spark, folder):
 
 @query("tuned_vs_base")
 def tuned_vs_base(spark, folder):
-    test = _part(features(spark, folder).frame, "test")
+    test = _part(training(spark, folder), "test")
     return C.compare_models(test, {"baseline": baseline(spark, folder),
                                    "tuned": tuned(spark, folder).bestModel})
 
@@ -103,7 +110,7 @@ def tuned_vs_base(spark, folder):
 def tvs_grid(spark, folder):
     def build():
         svm = _svm()
-        train = features(spark, folder).frame.filter(F.col("split") != "test")
+        train = training(spark, folder).filter(F.col("split") != "test")
         return C.validate(C.normalized_classifier(svm, "features"), _grid(svm), train)
     return C.grid_report(spark, _once(spark, folder, "validated", build))
 
@@ -111,12 +118,13 @@ def tvs_grid(spark, folder):
 @query("light_vs_heavy")
 def light_vs_heavy(spark, folder):
     """2,000 against 500 selected terms, each tuned and tested on its own features."""
-    fitted = features(spark, folder)
-    light = C.compare_models(_part(fitted.frame, "test"),
+    light = C.compare_models(_part(training(spark, folder), "test"),
                              {f"top {K.SELECTED_FEATURES}": tuned(spark, folder).bestModel})
 
     def build():
-        heavy = X.reselect(fitted, K.SELECTED_FEATURES_HEAVY, fit_on=F.col("split") == "train")
+        heavy = X.training_frame(
+            X.reselect(features(spark, folder), K.SELECTED_FEATURES_HEAVY,
+                       fit_on=F.col("split") == "train"), COLUMNS + ["heavy_features"])
         train = S.assign_folds(_part(heavy, "train"), "doc_id", FOLDS)
         svm = _svm("heavy_features")
         model = C.cross_validate(C.one_vs_rest(svm), _grid(svm), train, folds=FOLDS,

@@ -42,10 +42,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/lexisift/{purpose}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame, purpose: str = "table") -> DataFrame:
-    """Write once to the shared folder and read back: cuts lineage, survives lost executors."""
+def durable(df: DataFrame, purpose: str = "table", rebalance: bool = False) -> DataFrame:
+    """Write once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``rebalance`` evens out the files by size first. One shuffle more, worth it for a
+    table that iterative fitting scans again and again.
+    """
     path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    (df.hint("rebalance") if rebalance else df).write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

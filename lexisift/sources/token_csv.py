@@ -38,7 +38,9 @@ def read_token_csv(spark: SparkSession, path: str, tokens: str = "reviewText_tok
     rows = (spark.read.schema(schema).option("header", header).option("enforceSchema", True)
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .option("quote", '"').option("escape", '"').option("multiLine", False).csv(path))
-    parsed = rows.withColumn("parsed_tokens", parse_list_literal(F.col(tokens)))
+    # Exploding a one-element array keeps the parse from being repeated in later filters.
+    parsed = rows.select("*", F.explode(
+        F.array(parse_list_literal(F.col(tokens)))).alias("parsed_tokens"))
     reason = (F.when(F.col(CORRUPT).isNotNull(), "column count")
               .when(F.col(category).isNull() | (F.col(category) == "")
                     | F.col(tokens).isNull() | (F.col(tokens) == ""), "empty field")

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexisift.functions.stop_words import ENGLISH
 from lexisift.functions.terms import strip as stripped
 
 # Up to this many words a list is inlined into the filter expression.
@@ -44,5 +45,4 @@ def inline_words(words: DataFrame, limit: int = INLINE_WORDS) -> list[str] | Non
 
 def english_stop_words() -> list[str]:
     """Spark's own English list."""
-    from pyspark.ml.feature import StopWordsRemover
-    return sorted(StopWordsRemover.loadDefaultStopWords("english"))
+    return list(ENGLISH)
