@@ -54,10 +54,15 @@ def durable(df: DataFrame, purpose: str = "table", rebalance: bool = False) -> D
 
 
 def spread(df: DataFrame, tasks_per_core: int = 2) -> DataFrame:
-    """Spread rows over the cores when the scan has fewer splits than that.
+    """Spread rows over the cores when the scan itself cannot keep them busy.
 
-    A few large row groups would otherwise be tokenized by a few tasks. A large
-    scan has more splits than cores and passes through without a shuffle.
+    A scan with at least ``tasks_per_core`` splits per core passes through without a
+    shuffle. Below that, a file counts as one unit of work, since a small file is a
+    single row group however many splits are planned over it.
     """
-    wanted = tasks_per_core * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = tasks_per_core * cores
+    splits = df.rdd.getNumPartitions()
+    if splits >= wanted or min(splits, len(df.inputFiles()) or splits) >= cores:
+        return df
+    return df.repartition(wanted)
