@@ -50,7 +50,13 @@ def score_terms(counts: DataFrame, variant: str = "standard", zero: str = "skip"
 def term_statistics(documents: DataFrame, tokens: str = "tokens", stop_words: StopWords = None,
                     min_length: int = K.MIN_TERM_LENGTH, variant: str = "standard",
                     zero: str = "skip", deviant_expected: bool = False) -> DataFrame:
-    """From ``(category, tokens)`` documents to scored terms."""
+    """From ``(category, tokens)`` documents to scored terms.
+
+    Rows without a category are left out here, ahead of all branches: otherwise only
+    the joined branches would get that filter and nothing could be shared.
+    """
+    documents = (documents.filter(F.col("category").isNotNull())
+                 .withColumn("category", F.coalesce("category", F.lit(""))))
     observed = documents_per_category_term(documents, tokens, stop_words, min_length)
     counts = contingency_counts(observed, documents_per_category(documents))
     return score_terms(counts, variant, zero, deviant_expected)

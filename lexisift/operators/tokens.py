@@ -43,8 +43,13 @@ def split_stop_words(stop_words: StopWords) -> tuple[list[str], DataFrame | None
 
 
 def without_words(rows: DataFrame, words: DataFrame) -> DataFrame:
-    """Anti-join on ``term``. The join kind follows the measured size of the list."""
-    return rows.join(words.select("term").distinct(), "term", "left_anti")
+    """Rows whose term is not in the list; the join kind follows the measured list size.
+
+    Written as an outer join with a null test: an anti-join would be pushed below a
+    preceding count, onto the far more numerous token rows.
+    """
+    listed = words.select("term").distinct().withColumn("listed", F.lit(True))
+    return rows.join(listed, "term", "left").filter(F.col("listed").isNull()).drop("listed")
 
 
 def in_words(column: str, words: Iterable[str]) -> Column:
@@ -54,7 +59,7 @@ def in_words(column: str, words: Iterable[str]) -> Column:
 
 
 def term_filter(rows: DataFrame, words: Iterable[str], min_length: int) -> DataFrame:
-    condition = F.length("term") >= min_length
+    condition = F.col("term").isNotNull() & (F.length("term") >= min_length)
     return rows.filter(condition & ~in_words("term", words) if words else condition)
 
 

@@ -100,3 +100,24 @@ def test_term_rows_compile_with_the_scan(spark, skewed):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
     assert re.search(r"\*\(1\) Generate", plan)
+
+
+def test_long_stop_lists_are_joined_after_counting(spark, skewed, monkeypatch):
+    monkeypatch.setattr("lexisift.operators.tokens.inline_words", lambda frame: None)
+    words = spark.createDataFrame([("common",), ("the",)], "term string")
+    documents = labelled_documents(spark.read.parquet(skewed), "text", "lang")
+    scored = text_statistics(documents, stop_words=words, zero="zero")
+    plan = final_plan(scored)
+    assert plan.count("Generate explode") == 1
+    below_the_shuffle = plan[plan.index("partial_count(1)"):plan.index("Generate explode")]
+    assert "Join" not in below_the_shuffle
+    got = {(r.term, r.category): r.chi2 for r in scored.collect()}
+    expected = {k: v for k, v in brute_force(spark, skewed).items() if k[0] != "common"}
+    assert got.keys() == expected.keys()
+
+
+def test_nullable_categories_share_one_tokenization(spark, skewed):
+    documents = spark.read.parquet(skewed).select(F.col("lang").alias("category"), "text")
+    assert documents.schema["category"].nullable
+    plan = final_plan(text_statistics(documents, zero="zero"))
+    assert plan.count("Generate explode") == 1
