@@ -19,6 +19,18 @@ from lexisift.operators.features import FeatureSpec, feature_stages
 PARALLEL_FITS = 4
 
 
+# The other grids, for ``svm_grid(svm, **GRIDS[name])``.
+GRIDS = {
+    "full": dict(reg_param=K.GRID_REG_PARAM, standardization=K.GRID_STANDARDIZATION,
+                 max_iter=K.GRID_MAX_ITER),
+    "long": dict(reg_param=K.GRID_REG_PARAM, standardization=K.GRID_STANDARDIZATION,
+                 max_iter=K.GRID_MAX_ITER_LONG),
+    "draft": dict(reg_param=K.GRID_REG_PARAM_DRAFT, standardization=K.GRID_STANDARDIZATION,
+                  max_iter=K.GRID_MAX_ITER_DRAFT),
+    "iterations": dict(reg_param=(0.01,), standardization=(True,), max_iter=K.GRID_MAX_ITER_LONG),
+}
+
+
 def linear_svm(features: str = "features", label: str = "label",
                max_iter: int = K.SVM_MAX_ITER, reg_param: float = K.SVM_REG_PARAM,
                standardization: bool = True) -> LinearSVC:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexisift.functions.tokenizers import TOKENIZERS
 from lexisift.operators.chi_square import STATISTICS, term_statistics
@@ -18,7 +19,7 @@ from lexisift.plans import corpora, sql
 from lexisift.plans.ranking import scored
 from lexisift.plans.registry import query
 from lexisift.session import shared_folder, spread
-from lexisift.sinks.reports import category_lines
+from lexisift.sinks.reports import category_lines, report_lines
 from lexisift.sinks.tables import (list_literal, write_lines, write_statistics, write_terms,
                                    write_token_csv)
 from lexisift.sources import corpus, token_csv, words
@@ -80,7 +81,8 @@ def json_roundtrip(spark, folder):
 @query("json_permissive_roundtrip", REVIEWS)
 def json_permissive(spark, folder):
     """Broken lines become null rows, which the null filter removes."""
-    rows = corpus.read_reviews(spark, _write_reviews(spark, folder, broken=True), malformed="null")
+    rows = corpus.read_reviews(spark, _write_reviews(spark, folder, broken=True),
+                               corpus.review_schema(T.FloatType()), malformed="null")
     return _reviews(corpus.drop_nulls(rows, ["reviewText", "category"]))
 
 
@@ -176,6 +178,14 @@ def vocabulary_scan(spark, folder):
     return words.read_vocabulary(spark, path)
 
 
+@query("report_scan", f"{sql.chi_top(variant='legacy')}\nSELECT DISTINCT term FROM top")
+def report_scan(spark, folder):
+    """The vocabulary read back from the last line of a whole report."""
+    path = shared_folder(spark, "report")
+    write_lines(report_lines(top_terms(scored(spark, folder, variant="legacy"))), path)
+    return words.read_report_vocabulary(spark, path)
+
+
 @query("statistics_roundtrip", f"{sql.chi(tokenizer='regex', variant='mixed')}\n"
                                f"SELECT {', '.join(STATISTICS)} FROM scored")
 def statistics_roundtrip(spark, folder):

@@ -29,12 +29,12 @@ def shared_root(spark: SparkSession) -> str:
 
     A folder of our own is used only where the setting is absent, as in tests.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    own = tempfile.mkdtemp(prefix="lexisift-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    context = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="lexisift-"))
+        configured = context.getCheckpointDir()
+    return configured.rstrip("/")
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:

@@ -12,6 +12,9 @@ from lexisift.functions.terms import strip as stripped
 # Up to this many words a list is inlined into the filter expression.
 INLINE_WORDS = 10_000
 
+# A term with its score, as category lines list them.
+_SCORED_ENTRY = r" \S+:-?[0-9][0-9.E-]*( |$)"
+
 
 def read_words(spark: SparkSession, path: str, strip: bool = True) -> DataFrame:
     """One word per line -> distinct ``term`` rows."""
@@ -37,6 +40,17 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
             .filter(F.col("term") != "").distinct())
 
 
+def read_report_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """Terms of the vocabulary line at the end of a report.
+
+    The line is told from the category lines by its content, as it alone has no
+    ``term:score`` entry, so the order in which lines are read does not matter.
+    """
+    lines = spark.read.text(path).filter(~F.col("value").rlike(_SCORED_ENTRY))
+    return (lines.select(F.explode(F.split(F.trim("value"), r"\s+")).alias("term"))
+            .filter(F.col("term") != "").distinct())
+
+
 def inline_words(words: DataFrame, limit: int = INLINE_WORDS) -> list[str] | None:
     """The words as a list, or None when there are more than ``limit``."""
     rows = words.select("term").limit(limit + 1).collect()

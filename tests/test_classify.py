@@ -18,10 +18,12 @@ def frame(spark):
     return fitted, X.training_frame(fitted.frame, ["doc_id", "fold", "category", "label", "features"])
 
 
-def test_grids_have_their_sizes():
+def test_grids_have_their_sizes(spark):
     svm = C.linear_svm()
     assert len(C.svm_grid(svm)) == 12
     assert len(C.svm_grid(svm, selector=X.selector_stage(2000))) == 24
+    assert {name: len(C.svm_grid(svm, **grid)) for name, grid in C.GRIDS.items()} == {
+        "full": 12, "long": 12, "draft": 12, "iterations": 2}
 
 
 def test_cross_validation_and_reports(spark, frame):

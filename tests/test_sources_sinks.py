@@ -134,6 +134,13 @@ def test_lines(scored):
         "a z:1.000 y:0.050", "b v:12.000 w:12.000 x:0.062", "v w x y z"]
 
 
+def test_vocabulary_of_a_report(spark, tmp_path):
+    path = tmp_path / "output.txt"
+    path.write_text("Book good:12.500 a^b:3.000\n<Toy Box> fun:1.0E-4\ngood a^b fun\n")
+    terms = words.read_report_vocabulary(spark, str(path)).collect()
+    assert sorted(r.term for r in terms) == ["a^b", "fun", "good"]
+
+
 def test_vocabulary_line_refuses_to_gather_too_much(scored):
     assert reports.vocabulary_line(scored, limit=5).first().line == "v w x y z"
     with pytest.raises(Exception, match="write_terms"):
