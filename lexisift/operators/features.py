@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
+from lexisift.operators.tokens import term_frequencies
 from lexisift.session import durable
 
 
@@ -107,12 +108,29 @@ def fit_features(documents: DataFrame, spec: FeatureSpec = FeatureSpec(),
     def fitting_rows(df: DataFrame) -> DataFrame:
         return df if fit_on is None else df.filter(fit_on)
 
-    counting = Pipeline(stages=count_stages(spec)).fit(fitting_rows(documents))
+    counting = counting_model(fitting_rows(documents), spec)
     counted = durable(counting.transform(documents).select(*keep, "category", "tf"), "tf")
     weighting = Pipeline(stages=weight_stages(spec)).fit(fitting_rows(counted))
     return Features(PipelineModel(counting.stages + weighting.stages), weighting.transform(counted))
 
 
+def counting_model(documents: DataFrame, spec: FeatureSpec) -> PipelineModel:
+    """Tokenizer, stop words and a count vectorizer over the ranked vocabulary.
+
+    The estimator of the vectorizer hands the best terms of *every* partition to the
+    driver. Here the vocabulary is ranked as a DataFrame, so only the final list, at
+    most ``vocabulary_size`` terms, gets there, and ties are settled by term.
+    """
+    tokenizing = [tokenizer_stage(spec), stop_word_stage(spec)]
+    tokens = PipelineModel(tokenizing).transform(documents)
+    least = spec.min_df if spec.min_df >= 1 else spec.min_df * documents.count()
+    ranked = vocabulary_table(term_frequencies(tokens, [], "clean_tokens", min_length=0),
+                              spec.vocabulary_size, least)
+    terms = [row.term for row in ranked.select("term").collect()]
+    return PipelineModel([*tokenizing, CountVectorizerModel.from_vocabulary(
+        terms, inputCol="clean_tokens", outputCol="tf")])
+
+
 def training_frame(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The columns that fitting needs, as an evenly sized table of their own.
 
@@ -163,7 +181,7 @@ def vector_terms(features: Features, vector: str, keep: Sequence[str]) -> DataFr
 # Relational counterparts -------------------------------------------------------------
 
 
-def document_frequencies(frequencies: DataFrame, min_df: int = 1) -> DataFrame:
+def document_frequencies(frequencies: DataFrame, min_df: float = 1) -> DataFrame:
     """``(term, df, cf)`` from ``(document, term, n)`` rows: documents and occurrences."""
     return (frequencies.groupBy("term")
             .agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("cf"))
@@ -171,7 +189,7 @@ def document_frequencies(frequencies: DataFrame, min_df: int = 1) -> DataFrame:
 
 
 def vocabulary_table(frequencies: DataFrame, size: int = K.VOCABULARY_SIZE,
-                     min_df: int = K.MIN_DOCUMENT_FREQUENCY) -> DataFrame:
+                     min_df: float = K.MIN_DOCUMENT_FREQUENCY) -> DataFrame:
     """The ``size`` most frequent terms, ties by term."""
     return (document_frequencies(frequencies, min_df)
             .orderBy(F.col("cf").desc(), F.col("term").asc()).limit(size))

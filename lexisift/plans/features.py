@@ -8,11 +8,10 @@ from pyspark.sql import functions as F
 from lexisift.functions import constants as K
 from lexisift.operators import features as X
 from lexisift.operators.tokens import term_frequencies, with_tokens
-from lexisift.operators.vocabulary import overlap
+from lexisift.operators.vocabulary import merged_vocabulary, overlap
 from lexisift.plans import corpora, sql
 from lexisift.plans.ranking import scored
 from lexisift.plans.registry import query
-from lexisift.operators.vocabulary import merged_vocabulary
 
 FREQUENCIES = f"""WITH {sql.tokens('ml_regex', min_length=1)},
 tf AS (SELECT id AS doc_id, category, term, count(*) AS n FROM tok GROUP BY ALL),
@@ -108,10 +107,10 @@ def fitted(spark: SparkSession, folder: str, spec: X.FeatureSpec = X.FeatureSpec
     return _FITTED[key]
 
 
-# The vector stage orders equally frequent terms freely, so terms are compared as a set.
-@query("ml_tfidf_vocab", f"{FREQUENCIES}\nSELECT term FROM vocab")
+@query("ml_tfidf_vocab", f"""{FREQUENCIES}
+SELECT term, (row_number() OVER (ORDER BY cf DESC, term) - 1)::INTEGER AS feature_index FROM vocab""")
 def ml_vocabulary(spark, folder):
-    return X.vocabulary_frame(fitted(spark, folder)).select("term")
+    return X.vocabulary_frame(fitted(spark, folder))
 
 
 @query("ml_tf", f"{FREQUENCIES}\nSELECT doc_id, term, n::DOUBLE AS n FROM tf JOIN vocab USING (term)")

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,14 @@ def test_vectors_equal_relational_tfidf(fitted, frequencies, documents):
     assert all(math.isclose(vectors[k], relational[k], rel_tol=1e-12) for k in vectors)
 
 
+@pytest.mark.parametrize("min_df", [1, 30, 0.5])
+def test_ranked_vocabulary_equals_the_vectorizer(documents, min_df):
+    spec = X.FeatureSpec(stop_words=("tef",), min_df=min_df, vocabulary_size=1000)
+    ranked = X.counting_model(documents, spec)
+    estimated = Pipeline(stages=X.count_stages(spec)).fit(documents)
+    assert sorted(ranked.stages[-1].vocabulary) == sorted(estimated.stages[-1].vocabulary)
+
+
 def test_statistic_equals_chi_square_test(fitted, frequencies, documents):
     test = ChiSquareTest.test(fitted.frame, "tfidf", "label").first()
     expected = {term: (test.statistics[i], test.degreesOfFreedom[i])
