@@ -69,7 +69,7 @@ def term_counts(tokens: Column) -> Column:
 
         return bind(starts, counted)
 
-    return bind(F.array_sort(tokens), run_lengths)
+    return bind(F.sort_array(tokens), run_lengths)
 
 
 def bind(value: Column, body) -> Column:

@@ -59,7 +59,7 @@ def count_levels(observed: DataFrame) -> DataFrame:
 
 def terms_of_documents(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Distinct terms of each document as a sorted list in its own row."""
-    return df.withColumn("terms", F.array_sort(F.array_distinct(tokens)))
+    return df.withColumn("terms", F.sort_array(F.array_distinct(tokens)))
 
 
 def sum_counts(rows: DataFrame, keys: list[str], count: str = "n") -> DataFrame:

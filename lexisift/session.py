@@ -27,11 +27,14 @@ def build_session(app_name: str = "lexisift", master: str | None = None,
 def shared_root(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    A folder of our own is used only where the setting is absent, as in tests.
+    A folder of our own is used only where the setting is absent in a local run, as in
+    tests; on a cluster a local folder would not be shared, so the setting is required.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not configured:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="lexisift-"))
         configured = context.getCheckpointDir()
     return configured.rstrip("/")
