@@ -38,15 +38,16 @@ def linear_svm(features: str = "features", label: str = "label",
                      regParam=reg_param, standardization=standardization)
 
 
-def one_vs_rest(svm: LinearSVC, parallelism: int = PARALLEL_FITS) -> OneVsRest:
+def one_vs_rest(svm: LinearSVC, parallelism: int = 1) -> OneVsRest:
+    """``parallelism`` is for a single fit; a search runs its own fits side by side."""
     return OneVsRest(classifier=svm, featuresCol=svm.getFeaturesCol(),
                      labelCol=svm.getLabelCol(), parallelism=parallelism)
 
 
-def normalized_classifier(svm: LinearSVC, features: str) -> Pipeline:
+def normalized_classifier(svm: LinearSVC, features: str, parallelism: int = 1) -> Pipeline:
     """L2 normalization of ``features`` into the SVM's input, then one-vs-rest."""
     return Pipeline(stages=[Normalizer(inputCol=features, outputCol=svm.getFeaturesCol(), p=2.0),
-                            one_vs_rest(svm)])
+                            one_vs_rest(svm, parallelism)])
 
 
 def text_classifier(svm: LinearSVC, spec: FeatureSpec = FeatureSpec()) -> Pipeline:

@@ -68,7 +68,7 @@ def _grid(svm):
 
 def baseline(spark: SparkSession, folder: str):
     return _once(spark, folder, "baseline", lambda: C.normalized_classifier(
-        _svm(), "features").fit(_part(training(spark, folder), "train")))
+        _svm(), "features", C.PARALLEL_FITS).fit(_part(training(spark, folder), "train")))
 
 
 def tuned(spark: SparkSession, folder: str):
