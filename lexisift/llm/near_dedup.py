@@ -6,8 +6,8 @@ chosen by the node; small ones are compared exhaustively. Independent trees brin
 recall of a pair at the threshold to more than 0.9999. All links are confirmed on
 the full shingle sets.
 
-Only what can change a component is compared. A first round links each document to one
-pivot, the smallest document that it shares most nodes with. Nodes whose documents are
+Only what can change a component is compared. A first round tries to link each document
+to a few pivots, those of its nodes' pivots that look most alike. Nodes whose documents are
 then all in one component are done. In the others, pairs across components go on.
 So a group of n near copies costs about n comparisons, not n squared, and no link between
 two components is left out on purpose.
@@ -16,24 +16,30 @@ two components is left out on purpose.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.llm.components import connected_components
 from lexisift.llm.hashing import fingerprint, minwise, shingle_set
 from lexisift.session import durable
 
-COORDINATES = 64   # minwise values per document; four bits of each form its sketch
+COORDINATES = 256  # minwise values per document; four bits of each form its sketch
+LONGS = COORDINATES // 16
+BRANCHED = 64      # of them, those that nodes branch on
 TREES = 12         # a pair at similarity 0.8 shares no first node with probability 0.2 ** 12
 DEPTH = 6          # levels of branching; what is still large then is compared all the same
 SMALL = 64         # documents in a node that are compared without branching further
-VOTES = 5          # first nodes shared with a pivot before it is tried as a link
-MISSES = 27        # differing sketch values of 64 beyond which a pair is not tried (4 sd at 0.8)
+PIVOTS = 4         # pivots of a first node
+VOTES = 3          # first nodes shared with a pivot before it is looked at
+TRIED = 3          # pivots that a document is compared with in full
+MISSES = 73        # differing sketch values of 256 beyond which a pair is not tried (4 sd at 0.8)
 SALTED = 1_000     # documents that meet one copy of a pivot's set
+BLOCK = 128        # documents of a node that are compared in one block with as many others
 _BATCH = 400_000   # shingles hashed at a time
 
 
@@ -42,23 +48,23 @@ def _sketch(values: np.ndarray) -> np.ndarray:
     nibbles = (values >> np.uint64(7)) & np.uint64(15)
     shifts = np.arange(16, dtype=np.uint64) * np.uint64(4)
     return np.stack([(nibbles[:, k * 16:(k + 1) * 16] << shifts).sum(axis=1, dtype=np.uint64)
-                     for k in range(COORDINATES // 16)], axis=1).view(np.int64)
+                     for k in range(LONGS)], axis=1).view(np.int64)
 
 
 def _signatures(shingle: int):
     def rows(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
         full = [i for i, s in enumerate(sets) if len(s)]
-        prints, tokens, sketches = [None] * len(sets), [None] * len(sets), np.zeros((len(sets), 4), np.int64)
+        prints, tokens, sketches = [None] * len(sets), [None] * len(sets), np.zeros((len(sets), LONGS), np.int64)
         if full:
             values = minwise([sets[i] for i in full], COORDINATES)
-            short = ((values >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            short = ((values[:, :BRANCHED] >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             sketches[full] = _sketch(values)
             for row, i in enumerate(full):
                 prints[i], tokens[i] = fingerprint(sets[i]), short[row]
         return pa.RecordBatch.from_pydict({
             "doc_id": ids, "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "print": pa.array(prints, pa.binary()), "tokens": pa.array(tokens, pa.list_(pa.int32())),
-            **{f"s{k}": pa.array(sketches[:, k], pa.int64()) for k in range(4)}})
+            **{f"s{k}": pa.array(sketches[:, k], pa.int64()) for k in range(LONGS)}})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,30 +79,40 @@ def _signatures(shingle: int):
 
 
 def _sets(shingle: int):
-    """Rows ``(pivot, part, first, doc_id, hashes)`` for each place that a set is needed at."""
+    """Rows ``(node, i, j, owner, doc_id, hashes)`` for each place that a set is needed at."""
+    names = ["node", "i", "j", "owner", "doc_id", "hashes"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out, held = [], 0
             for doc_id, text, places in zip(batch["doc_id"], batch["text"], batch["places"], strict=True):
                 hashes = shingle_set(text, shingle).view(np.int64)
                 for place in places:
-                    out.append((place["pivot"], place["part"], place["first"], doc_id, hashes))
+                    out.append((place["node"], place["i"], place["j"], place["owner"], doc_id, hashes))
                     held += len(hashes)
                     if held > _BATCH:
-                        yield pd.DataFrame(out, columns=["pivot", "part", "first", "doc_id", "hashes"])
+                        yield pd.DataFrame(out, columns=names)
                         out, held = [], 0
             if out:
-                yield pd.DataFrame(out, columns=["pivot", "part", "first", "doc_id", "hashes"])
+                yield pd.DataFrame(out, columns=names)
     return run
 
 
+def _placed(texts: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
+    """The sets of documents, dealt by ``(node, i, j)``; each is made once and copied from there."""
+    at = places.groupBy("doc_id", F.pmod(F.xxhash64("node", "i"), F.lit(64)).alias("slot")).agg(
+        F.collect_list(F.struct("node", "i", "j", "owner")).alias("places"))
+    return texts.join(at, "doc_id").select("doc_id", "text", "places").mapInPandas(
+        _sets(shingle), "node long, i int, j int, owner long, doc_id long, hashes array<long>").repartition("node", "i", "j")
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, pivot_set = None, None
         for batch in batches:
             links = []
-            for pivot, part, first, doc_id, hashes in batch.itertuples(index=False):
-                if first:
+            for pivot, part, _, owner, doc_id, hashes in batch.itertuples(index=False):
+                if owner:
                     at, pivot_set = (pivot, part), np.asarray(hashes)
                 elif at == (pivot, part):
                     values = np.asarray(hashes)
@@ -108,34 +124,92 @@ def _confirm(percent: int):
 
 
 def _confirmed(texts: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose full sets are similar enough.
+    """The pairs ``(a, b)`` of document and pivot whose full sets are similar enough.
 
-    Each set is made once and sent to its pivots; a pivot with many partners is copied
-    per ``SALTED`` of them, so no task holds more than a stream of sets and one pivot.
+    A pivot with many partners is copied per ``SALTED`` of them, so no task holds more than
+    a stream of sets and one pivot.
     """
     sizes = pairs.groupBy("b").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("parts"))
     asked = pairs.join(sizes, "b").select(
-        F.col("a").alias("doc_id"), F.col("b").alias("pivot"),
-        F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("part"), F.lit(False).alias("first"))
-    pivots = sizes.select(F.col("b").alias("doc_id"), F.col("b").alias("pivot"),
-                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
-                          F.lit(True).alias("first"))
-    places = asked.unionByName(pivots).groupBy("doc_id", F.pmod(F.xxhash64("pivot"), F.lit(64)).alias("slot")).agg(
-        F.collect_list(F.struct("pivot", "part", "first")).alias("places"))
-    sets = texts.join(places, "doc_id").select("doc_id", "text", "places").mapInPandas(
-        _sets(shingle), "pivot long, part int, first boolean, doc_id long, hashes array<long>")
-    return (sets.repartition("pivot", "part").sortWithinPartitions("pivot", "part", F.desc("first"))
+        F.col("a").alias("doc_id"), F.col("b").alias("node"),
+        F.pmod(F.xxhash64("a"), F.col("parts")).cast("int").alias("i"), F.lit(0).alias("j"), F.lit(0).alias("owner"))
+    pivots = sizes.select(F.col("b").alias("doc_id"), F.col("b").alias("node"),
+                          F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("i"), F.lit(0).alias("j"), F.lit(1).alias("owner"))
+    return (_placed(texts, asked.unionByName(pivots), shingle).sortWithinPartitions("node", "i", F.desc("owner"))
             .mapInPandas(_confirm(percent), "a long, b long"))
 
 
-def _near(left: str, right: str) -> Column:
-    """Sketches that differ in at most ``MISSES`` of their values."""
+def links_between(owners: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between the components ``owners``, as few as connect what is linked."""
+    sizes = np.array([len(s) for s in sets])
+    tokens, column = np.unique(np.concatenate(sets), return_inverse=True)
+    row, common = np.repeat(np.arange(len(sets)), sizes), np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, len(tokens), 8192):
+        part = slice(*np.searchsorted(column, [low, low + 8192]))
+        held = np.zeros((len(sets), 8192), np.float32)
+        held[row[part], column[part] - low] = 1
+        common += held @ held.T
+    alike = (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)) & (owners[:, None] < owners[None, :])
+    parent = {o: o for o in owners.tolist()}
+    out = []
+    for a, b in zip(*np.nonzero(alike), strict=True):
+        ends = []
+        for end in (int(owners[a]), int(owners[b])):
+            while parent[end] != end:
+                parent[end] = end = parent[parent[end]]
+            ends.append(end)
+        if ends[0] != ends[1]:
+            parent[max(ends)] = min(ends)
+            out.append((int(owners[a]), int(owners[b])))
+    return out
+
+
+def _compare(percent: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, owners, sets = None, [], []
+        for batch in batches:
+            links = []
+            for node, i, j, owner, _, hashes in batch.itertuples(index=False):
+                if (node, i, j) != at:
+                    if len(sets) > 1:
+                        links += links_between(np.array(owners), sets, percent)
+                    at, owners, sets = (node, i, j), [], []
+                owners.append(owner)
+                sets.append(np.array(hashes))
+            yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        if len(sets) > 1:
+            yield pd.DataFrame(links_between(np.array(owners), sets, percent), columns=["a", "b"], dtype="int64")
+    return run
+
+
+def _compared(texts: DataFrame, leaves: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between components, from exhaustive comparison within each leaf.
+
+    A large leaf is cut into blocks, and every block meets every other one.
+    """
+    sizes = leaves.groupBy("node").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    dealt = leaves.join(sizes, "node").select(
+        "node", F.col("doc").alias("doc_id"), F.col("component").alias("owner"), own.alias("own"),
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    places = dealt.select("node", "doc_id", "owner", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    return (_placed(texts, places, shingle).sortWithinPartitions("node", "i", "j")
+            .mapInPandas(_compare(percent), "a long, b long"))
+
+
+_SKETCH = [f"s{k}" for k in range(LONGS)]
+
+
+def _misses(left: str, right: str) -> Column:
+    """In how many of their values two sketches differ."""
     def misses(k: int) -> Column:
         x = F.col(f"{left}.s{k}").bitwiseXOR(F.col(f"{right}.s{k}"))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 1))
         x = x.bitwiseOR(F.shiftrightunsigned(x, 2))
         return F.bit_count(x.bitwiseAND(F.lit(0x1111111111111111)))
-    return (misses(0) + misses(1) + misses(2) + misses(3)) <= MISSES
+    return reduce(Column.__add__, map(misses, range(LONGS)))
 
 
 def _leaves(nodes: DataFrame, signatures: DataFrame) -> DataFrame | None:
@@ -153,7 +227,7 @@ def _leaves(nodes: DataFrame, signatures: DataFrame) -> DataFrame | None:
         if last or large.isEmpty():
             break
         def child(salt: int) -> Column:
-            at = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(COORDINATES)).cast("int")
+            at = F.pmod(F.xxhash64("node", F.lit(salt)), F.lit(BRANCHED)).cast("int")
             return F.xxhash64("node", at, F.element_at("tokens", at + 1))
         children = F.when(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(4)) == 0,
                           F.array_distinct(F.array(child(level), child(level + 100)))).otherwise(F.array(child(level)))
@@ -173,30 +247,33 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     """
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     made = durable(texts.mapInArrow(
-        _signatures(shingle), "doc_id long, n_shingles long, print binary, tokens array<int>, "
-        "s0 long, s1 long, s2 long, s3 long"), "signatures")
+        _signatures(shingle), "doc_id long, n_shingles long, print binary, tokens array<int>, " + ", ".join(f"{c} long" for c in _SKETCH)), "signatures")
     copies = made.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("doc"))
     signatures = durable(copies.join(made, (copies["print"] == made["print"]) & (copies["doc"] == made["doc_id"]))
-                         .select("doc", "tokens", "s0", "s1", "s2", "s3"), "distinct").dropDuplicates(["doc"])
+                         .select("doc", "tokens", *_SKETCH), "distinct").dropDuplicates(["doc"])
     first = F.array(*[F.xxhash64(F.lit(t), F.element_at("tokens", t + 1)) for t in range(TREES)])
     nodes = signatures.select(F.explode(first).alias("node"), "doc")
-    shared = nodes.groupBy("node").agg(F.count("*").alias("n"), F.min("doc").alias("pivot")).where("n > 1")
-    nodes = durable(nodes.join(shared, "node").select("node", "doc", "pivot"), "nodes")
-    votes = nodes.where("doc <> pivot").groupBy("doc", "pivot").agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES)
-    tried = votes.groupBy("doc").agg(F.max_by("pivot", F.struct("votes", -F.col("pivot"))).alias("pivot"))
+    pivots = F.array_distinct(F.array(*[F.min_by("doc", F.xxhash64("doc", F.lit(k))) for k in range(PIVOTS)]))
+    shared = nodes.groupBy("node").agg(F.count("*").alias("n"), pivots.alias("pivots")).where("n > 1")
+    nodes = durable(nodes.join(shared, "node").select("node", "doc", "pivots"), "nodes")
+    voted = (nodes.select("doc", F.explode("pivots").alias("pivot")).where("doc <> pivot")
+             .groupBy("doc", "pivot").agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES))
+    looks = (voted.join(signatures.drop("tokens").alias("a"), "doc")
+             .join(signatures.drop("tokens").withColumnRenamed("doc", "pivot").alias("b"), "pivot")
+             .select("doc", "pivot", _misses("a", "b").alias("misses")).where(F.col("misses") <= MISSES))
+    closest = Window.partitionBy("doc").orderBy("misses", "pivot")
+    tried = looks.withColumn("rank", F.row_number().over(closest)).where(F.col("rank") <= TRIED)
     links = _confirmed(texts, durable(tried.select(F.col("doc").alias("a"), F.col("pivot").alias("b")), "pairs"),
                        shingle, percent)
     groups = durable(connected_components(links), "groups")
-    owned = nodes.join(groups.withColumnRenamed("id", "doc"), "doc", "left").select(
+    owned = nodes.drop("pivots").join(groups.withColumnRenamed("id", "doc"), "doc", "left").select(
         "node", "doc", F.coalesce("component", "doc").alias("component"))
     leaves = _leaves(owned, signatures).join(signatures.drop("tokens"), "doc")
     a, b = leaves.alias("a"), leaves.alias("b")
-    pairs = durable(a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.component") < F.col("b.component"))
-                           & _near("a", "b"))
-                    .select(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"),
-                            F.col("a.component").alias("from"), F.col("b.component").alias("to")).distinct(), "pairs")
-    across = _confirmed(texts, pairs.select("a", "b"), shingle, percent).join(pairs, ["a", "b"])
-    merged = durable(connected_components(across.select(F.col("from").alias("a"), F.col("to").alias("b"))), "groups")
+    # Documents that look alike to one of another component in the same leaf.
+    alike = durable(a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
+                           & (_misses("a", "b") <= MISSES), "left_semi").select("node", "doc", "component"), "leaves")
+    merged = durable(connected_components(_compared(texts, alike, shingle, percent)), "groups")
     copied = made.select("doc_id", "n_shingles", "print").join(copies, "print", "left")
     label = (copied.join(groups.withColumnRenamed("id", "doc"), "doc", "left")
              .withColumn("group", F.coalesce("component", "doc", "doc_id")).drop("component")
