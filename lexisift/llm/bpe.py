@@ -9,11 +9,13 @@ from __future__ import annotations
 
 import base64
 import os
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 400_000    # pieces a worker remembers before it starts anew
+REMEMBERED = 1_000_000  # pieces (about 150 bytes each) that a worker remembers before it starts anew
 
 
 def default_vocabulary() -> str:
@@ -21,6 +23,26 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+class _Pieces(dict):
+    """Number of each piece; a new one is encoded when it is first asked for."""
+
+    def __init__(self, piece: Callable[[str], list[int]]):
+        super().__init__()
+        self.piece = piece
+        self.starts, self.lengths, self.ids = array("q"), array("q"), array("I")
+
+    def __missing__(self, text: str) -> int:
+        # A piece that touches other white space cannot stand alone: length -1.
+        alone = text and not text[0].isspace() and not text[-1].isspace()
+        ids = self.piece(" " + text) if alone else ()
+        self.starts.append(len(self.ids))
+        self.lengths.append(len(ids) if alone else -1)
+        self.ids.extend(ids)
+        number = len(self)
+        self[text] = number
+        return number
+
+
 class PieceEncoder:
     """Ids of texts under one tokenizer file.
 
@@ -43,54 +65,26 @@ class PieceEncoder:
                                            special_tokens={}).encode_ordinary
         else:
             self.piece = self.whole
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.ids, self.used = np.zeros(4096, np.uint32), 0
+        self.known = _Pieces(self.piece)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self._forget()
-        for piece in pieces:
-            if piece in self.known:
-                continue
-            at = len(self.known)
-            # A piece that touches other white space cannot stand alone: length -1.
-            alone = piece and not piece[0].isspace() and not piece[-1].isspace()
-            ids = self.piece(" " + piece) if alone else []
-            if at == len(self.starts):
-                self.starts, self.lengths = np.resize(self.starts, 2 * at), np.resize(self.lengths, 2 * at)
-            if self.used + len(ids) > len(self.ids):
-                self.ids = np.resize(self.ids, 2 * (self.used + len(ids)))
-            self.starts[at], self.lengths[at] = self.used, len(ids) if alone else -1
-            self.ids[self.used:self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.known[piece] = at
-
     def encode(self, text: str) -> np.ndarray:
         """Ids of one text as unsigned 32-bit integers."""
         pieces = text.split(" ")
         if len(pieces) < 3 or (pieces[0] and pieces[0][-1].isspace()) or any(s in text for s in self.special):
             return np.array(self.whole(text) if any(s in text for s in self.special) else self.piece(text), np.uint32)
         first, last, middle = pieces[0], pieces[-1], pieces[1:-1]
+        if len(self.known) > REMEMBERED:
+            self.known = _Pieces(self.piece)
         known = self.known
-        missing = [p for p in middle if p not in known]
-        if missing:
-            if len(set(missing)) + len(known) > REMEMBERED:
-                self._forget()
-                missing, known = middle, self.known
-            self._learn(missing)
         at = np.fromiter(map(known.__getitem__, middle), np.int64, len(middle))
-        lengths = self.lengths[at]
+        lengths = np.frombuffer(known.lengths, np.int64)[at]
         if lengths.min() < 0:
             return np.array(self.piece(text), np.uint32)
-        ends = lengths.cumsum()
-        inner = self.ids[np.repeat(self.starts[at] - ends + lengths, lengths) + np.arange(ends[-1])]
+        starts, ends = np.frombuffer(known.starts, np.int64)[at], lengths.cumsum()
+        inner = np.frombuffer(known.ids, np.uint32)[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1])]
         head = self.piece(first) if first else []
         return np.concatenate([np.array(head, np.uint32), inner, np.array(self.piece(" " + last), np.uint32)])
 

@@ -278,6 +278,6 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     label = (copied.join(groups.withColumnRenamed("id", "doc"), "doc", "left")
              .withColumn("group", F.coalesce("component", "doc", "doc_id")).drop("component")
              .join(merged.withColumnRenamed("id", "group"), "group", "left")
-             .withColumn("component_id", F.coalesce("component", "group")))
+             .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "group"))))
     return label.select("doc_id", "n_shingles", "component_id",
                         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
