@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 KINDS = ("assign", "access", "hex", "markov")
 SAMPLE_DOCS = 20_000     # documents, chosen by the hash of their id, that the models are trained on
+BACK_OFF = 50            # weight of single characters where pairs are rare
 LEAST_CHARS = 16         # characters of a string that the models judge
 LEAST_RATIO = 20.0       # log-likelihood ratio, in nats, from which a string is a secret
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -82,8 +83,9 @@ def train(documents: DataFrame) -> np.ndarray:
     counts = np.zeros((2, size, size))
     for r in counted:
         counts[r["label"], r["before"], r["after"]] = r["n"]
-    counts += 0.5
-    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    single = counts.sum(axis=1, keepdims=True) + 0.5
+    single /= single.sum(axis=2, keepdims=True)
+    logs = np.log((counts + BACK_OFF * single) / (counts.sum(axis=2, keepdims=True) + BACK_OFF))
     return logs[0] - logs[1]
 
 
