@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
 from lexisift.functions.scores import chi_square, contingency, expected_count
-from lexisift.operators.counts import (documents_per_category, documents_per_category_term,
-                                       documents_per_term)
+from lexisift.operators.counts import documents_per_category, documents_per_category_term
 from lexisift.operators.tokens import StopWords, with_tokens
 
 STATISTICS = ("term", "category", "observed", "expected", "chi2", "total_term", "total_category")
@@ -17,16 +16,16 @@ STATISTICS = ("term", "category", "observed", "expected", "chi2", "total_term",
 def contingency_counts(observed: DataFrame, per_category: DataFrame) -> DataFrame:
     """``observed`` with the totals of its term, its category and all documents.
 
-    Both joins are left to the optimizer: the term totals are as large as the
-    vocabulary, the category totals usually tiny, and adaptive execution measures
-    both before it picks broadcast or sort-merge (with skew splitting). The two uses
-    of ``observed`` are the same plan, so its shuffle is written once and read twice.
+    Term totals are a window over the counted rows, of which a term has one per category
+    at most. The join with the category totals, usually tiny, is left to the optimizer:
+    adaptive execution measures them before it picks broadcast or sort-merge (with skew
+    splitting).
     """
     documents = per_category.agg(F.sum("documents").alias("n")).scalar()
     categories = per_category.select(
         "category", F.col("documents").alias("total_category"), documents.alias("total_documents"))
-    return (observed.join(documents_per_term(observed), "term")
-            .join(categories, "category"))
+    totals = F.sum("observed").over(Window.partitionBy("term"))
+    return observed.withColumn("total_term", totals).join(categories, "category")
 
 
 def score_terms(counts: DataFrame, variant: str = "standard", zero: str = "skip",

@@ -110,7 +110,9 @@ def fit_features(documents: DataFrame, spec: FeatureSpec = FeatureSpec(),
 
     counting = counting_model(fitting_rows(documents), spec)
     counted = durable(counting.transform(documents).select(*keep, "category", "tf"), "tf")
-    weighting = Pipeline(stages=weight_stages(spec)).fit(fitting_rows(counted))
+    # Labels come from all rows: a category that the fitting rows lack is a label all the same.
+    stages = [s.fit(counted) if isinstance(s, StringIndexer) else s for s in weight_stages(spec)]
+    weighting = Pipeline(stages=stages).fit(fitting_rows(counted))
     return Features(PipelineModel(counting.stages + weighting.stages), weighting.transform(counted))
 
 

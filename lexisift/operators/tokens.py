@@ -11,7 +11,6 @@ from lexisift.functions import constants as K
 from lexisift.functions.terms import keep_terms, term_counts
 from lexisift.functions.tokenizers import TOKENIZERS
 from lexisift.sources.corpus import present_columns
-from lexisift.sources.words import INLINE_WORDS, inline_words
 
 StopWords = Iterable[str] | DataFrame | None
 
@@ -30,16 +29,12 @@ def with_column_tokens(df: DataFrame, text_columns: Sequence[str],
 
 
 def split_stop_words(stop_words: StopWords) -> tuple[list[str], DataFrame | None]:
-    """(words to inline, frame to anti-join). A list too long to inline becomes a frame."""
+    """(words of a given list, frame to anti-join). Nulls are no words; nothing is collected."""
     if stop_words is None:
         return [], None
     if isinstance(stop_words, DataFrame):
-        words = inline_words(stop_words)
-        return ([], stop_words.select("term")) if words is None else (words, None)
-    words = sorted(set(stop_words))
-    if len(words) > INLINE_WORDS:
-        raise ValueError(f"more than {INLINE_WORDS} stop words: pass them as a DataFrame")
-    return words, None
+        return [], stop_words.select("term").filter(F.col("term").isNotNull())
+    return sorted({word for word in stop_words if word is not None}), None
 
 
 def without_words(rows: DataFrame, words: DataFrame) -> DataFrame:

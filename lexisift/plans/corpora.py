@@ -34,5 +34,5 @@ def turns(spark: SparkSession, folder: str) -> DataFrame:
 def rated_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with a quality label, labelled with it."""
     rated = read_table(spark, folder, "labels", ["doc_id", "quality"])
-    table = read_table(spark, folder, "documents", ["doc_id", "text"]).join(rated, "doc_id")
-    return labelled_documents(spread(table), "text", "quality", keep=["doc_id"])
+    table = spread(read_table(spark, folder, "documents", ["doc_id", "text"])).join(rated, "doc_id")
+    return labelled_documents(table, "text", "quality", keep=["doc_id"])

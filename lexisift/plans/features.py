@@ -89,9 +89,8 @@ def label_index_rel(spark, folder):
 @query("chi2_feature_stat_rel", STATISTIC)
 def feature_statistic(spark, folder):
     rows = frequencies(spark, folder)
-    kept = X.document_frequencies(rows, K.MIN_DOCUMENT_FREQUENCY).select("term")
-    stats = X.feature_statistics(rows, corpora.documents(spark, folder))
-    return (stats.filter(F.col("df") >= K.MIN_DOCUMENT_FREQUENCY)
+    kept = rows.join(X.vocabulary_table(rows).select("term"), "term", "left_semi")
+    return (X.feature_statistics(kept, corpora.documents(spark, folder))
             .withColumn("statistic", F.round("statistic", 6)))
 
 

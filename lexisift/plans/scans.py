@@ -180,10 +180,23 @@ def vocabulary_scan(spark, folder):
 
 @query("report_scan", f"{sql.chi_top(variant='legacy')}\nSELECT DISTINCT term FROM top")
 def report_scan(spark, folder):
-    """The vocabulary read back from the last line of a whole report."""
-    path = shared_folder(spark, "report")
-    write_lines(report_lines(top_terms(scored(spark, folder, variant="legacy"))), path)
-    return words.read_report_vocabulary(spark, path)
+    """The vocabulary read back from the marked line of a whole report."""
+    path, mark = shared_folder(spark, "report"), "vocabulary: "
+    write_lines(report_lines(top_terms(scored(spark, folder, variant="legacy")), mark=mark), path)
+    return words.read_report_vocabulary(spark, path, mark)
+
+
+@query("csv_words_roundtrip", f"""SELECT doc_id, lang AS category,
+  array_to_string(list_filter({sql.token_list('words')}, lambda t: t <> ''), ' ') AS tokens
+FROM documents WHERE lang IS NOT NULL""")
+def csv_words_roundtrip(spark, folder):
+    """Word tokens, which may hold apostrophes, in single quotes, the header read from the file."""
+    documents = with_tokens(corpora.documents(spark, folder), tokenizer="words")
+    path = shared_folder(spark, "tokens")
+    write_token_csv(documents, path, keep=["doc_id"], single_quotes=True)
+    rows = token_csv.valid_rows(token_csv.read_token_csv(spark, path))
+    return rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "category",
+                       F.array_join("tokens", " ").alias("tokens"))
 
 
 @query("statistics_roundtrip", f"{sql.chi(tokenizer='regex', variant='mixed')}\n"

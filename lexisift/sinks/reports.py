@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from lexisift.functions.formats import FORMATS
 
-LINE_TERMS = 1_000_000
-
 
 def category_lines(top: DataFrame, number: str = "fixed", brackets: bool = False) -> DataFrame:
     """``category t1:v1 ... tK:vK`` per category.
@@ -23,25 +21,21 @@ def category_lines(top: DataFrame, number: str = "fixed", brackets: bool = False
                 " ", name, F.array_join(F.col("entries.text"), " ")).alias("line")))
 
 
-def vocabulary_line(terms: DataFrame, limit: int = LINE_TERMS) -> DataFrame:
-    """The sorted distinct terms as one line.
+def vocabulary_line(terms: DataFrame, mark: str = "") -> DataFrame:
+    """The sorted distinct terms as one line, after ``mark`` if one is wanted.
 
-    For lists up to ``limit`` terms, such as a merged top-K; a longer list raises an
-    error that names ``write_terms``, which writes a vocabulary of any size.
+    One line is one row, so this is for lists that K and the categories bound, such as a
+    merged top-K; ``write_terms`` writes a vocabulary of any size in sorted parts.
     """
-    bounded = terms.select("term").distinct().limit(limit + 1)
-    gathered = bounded.agg(F.sort_array(F.collect_list("term")).alias("terms"))
-    return gathered.select(
-        F.when(F.size("terms") <= limit, F.array_join("terms", " "))
-        .otherwise(F.raise_error(F.lit(f"more than {limit} terms: use write_terms")))
-        .alias("line"))
+    return terms.select("term").distinct().agg(F.sort_array(F.collect_list("term")).alias("terms")).select(
+        F.concat(F.lit(mark), F.array_join("terms", " ")).alias("line"))
 
 
-def report_lines(top: DataFrame, number: str = "fixed", brackets: bool = False) -> DataFrame:
+def report_lines(top: DataFrame, number: str = "fixed", brackets: bool = False, mark: str = "") -> DataFrame:
     """Category lines in alphabetical order, then the merged vocabulary line."""
     lines = category_lines(top, number, brackets).select(
         F.lit(0).alias("section"), "category", "line")
-    merged = vocabulary_line(top).select(F.lit(1).alias("section"), F.lit("").alias("category"), "line")
+    merged = vocabulary_line(top, mark).select(F.lit(1).alias("section"), F.lit("").alias("category"), "line")
     return lines.unionByName(merged).orderBy("section", "category").select("line")
 
 

@@ -22,9 +22,19 @@ def write_statistics(stats: DataFrame, path: str, compression: str = "none",
 
 
 def list_literal(tokens: Column, single_quotes: bool = False) -> Column:
-    """Token array -> list literal; single quotes as in a Python list, if wanted."""
-    literal = F.coalesce(F.to_json(tokens), F.lit("[]"))
-    return F.replace(literal, F.lit('"'), F.lit("'")) if single_quotes else literal
+    """Token array -> list literal; single quotes as in a Python list, if wanted.
+
+    As there, a token with an apostrophe stands in double quotes, so it reads back.
+    """
+    if not single_quotes:
+        return F.coalesce(F.to_json(tokens), F.lit("[]"))
+
+    def quoted(token: Column) -> Column:
+        double = F.regexp_extract(F.to_json(F.array(token)), r"(?s)^\[(.*)\]$", 1)
+        single = F.regexp_replace(double, r'^"|"$', "'")
+        return F.when(F.contains(token, F.lit("'")), double).otherwise(single)
+    inside = F.array_join(F.transform(tokens, quoted), ",")
+    return F.coalesce(F.concat(F.lit("["), inside, F.lit("]")), F.lit("[]"))
 
 
 def write_token_csv(df: DataFrame, path: str, tokens: str = "tokens", category: str = "category",

@@ -49,14 +49,17 @@ def read_token_csv(spark: SparkSession, path: str, tokens: str = "reviewText_tok
     return parsed.select(
         *others, F.col(category).alias("category"),
         clean_tokens(F.col("parsed_tokens")).alias("tokens"), reason.alias("reject"),
-        F.substring(F.coalesce(F.col(CORRUPT), F.col(tokens), F.lit("")), 1,
-                    PREVIEW_CHARACTERS).alias("preview"))
+        F.when(reason.isNotNull(), F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))).alias("line"))
 
 
 def valid_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("reject").isNull()).drop("reject", "preview")
+    return rows.filter(F.col("reject").isNull()).drop("reject", "line")
 
 
 def rejected_rows(rows: DataFrame) -> DataFrame:
-    """Rejects with their reason and the first characters of the line."""
-    return rows.filter(F.col("reject").isNotNull()).select("reject", "preview")
+    """Rejects with their reason, the whole line and its first characters.
+
+    A line with the right number of fields is written anew from them.
+    """
+    return rows.filter(F.col("reject").isNotNull()).select(
+        "reject", F.substring("line", 1, PREVIEW_CHARACTERS).alias("preview"), "line")

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from lexisift.functions.stop_words import ENGLISH
 from lexisift.functions.terms import strip as stripped
 
-# Up to this many words a list is inlined into the filter expression.
-INLINE_WORDS = 10_000
-
 # A term with its score, as category lines list them.
 _SCORED_ENTRY = r" \S+:-?[0-9][0-9.E-]*( |$)"
 
@@ -40,23 +37,23 @@ def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
             .filter(F.col("term") != "").distinct())
 
 
-def read_report_vocabulary(spark: SparkSession, path: str) -> DataFrame:
-    """Terms of the vocabulary line at the end of a report.
+def read_report_vocabulary(spark: SparkSession, path: str, mark: str | None = None) -> DataFrame:
+    """Terms of the vocabulary line of a report.
 
-    The line is told from the category lines by its content, as it alone has no
-    ``term:score`` entry, so the order in which lines are read does not matter.
+    With the ``mark`` that the report was written with, the line is the one that starts
+    with it, whatever its terms look like. Reports without a mark tell it by content: it
+    has no ``term:score`` entry, so none of its terms may look like one.
     """
-    lines = spark.read.text(path).filter(~F.col("value").rlike(_SCORED_ENTRY))
+    lines = spark.read.text(path)
+    if mark:
+        lines = lines.filter(F.col("value").startswith(mark)).select(
+            F.substring("value", len(mark) + 1, 2**31 - 1).alias("value"))
+    else:
+        lines = lines.filter(~F.col("value").rlike(_SCORED_ENTRY))
     return (lines.select(F.explode(F.split(F.trim("value"), r"\s+")).alias("term"))
             .filter(F.col("term") != "").distinct())
 
 
-def inline_words(words: DataFrame, limit: int = INLINE_WORDS) -> list[str] | None:
-    """The words as a list, or None when there are more than ``limit``."""
-    rows = words.select("term").limit(limit + 1).collect()
-    return None if len(rows) > limit else sorted(row.term for row in rows)
-
-
 def english_stop_words() -> list[str]:
     """Spark's own English list."""
     return list(ENGLISH)

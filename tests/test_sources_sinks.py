@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexisift.operators.counts import documents_per_category_term
 from lexisift.operators.ranking import top_terms
+from lexisift.operators.tokens import term_frequencies
 from lexisift.session import durable, shared_root, spread
 from lexisift.sinks import reports, tables
 from lexisift.sources import corpus as C
@@ -71,9 +73,18 @@ def test_word_files(spark, tmp_path):
     assert sorted(r.term for r in unstripped) == [" and\t", "of", "the"]
     missing = words.read_words_if_present(spark, str(tmp_path / "none.txt"))
     assert missing.collect() == [] and missing.columns == ["term"]
-    frame = words.read_words(spark, str(path))
-    assert words.inline_words(frame) == ["and", "of", "the"]
-    assert words.inline_words(frame, limit=2) is None
+
+
+def test_stop_words_of_any_length_and_with_nulls(spark):
+    rows = spark.createDataFrame([("a", ["the", "cat"]), ("b", ["dog", "x9"])], "category string, tokens array<string>")
+    def left(stop_words):
+        return sorted(r.term for r in term_frequencies(rows, ["category"], stop_words=stop_words).collect())
+    many = [f"w{k}" for k in range(12_000)]
+    assert left([*many, None, "the"]) == ["cat", "dog", "x9"]
+    frame = spark.createDataFrame([(w,) for w in [*many, None, "the"]], "term string")
+    assert left(frame) == ["cat", "dog", "x9"]
+    observed = documents_per_category_term(rows, stop_words=frame)
+    assert sorted(r.term for r in observed.collect()) == ["cat", "dog", "x9"]
 
 
 def test_token_csv_rows_and_rejects(spark, tmp_path):
@@ -93,6 +104,8 @@ def test_token_csv_rows_and_rejects(spark, tmp_path):
     reasons = sorted(r.reject for r in token_csv.rejected_rows(rows).collect())
     assert reasons.count("token list") == 2 and reasons.count("empty field") == 1
     assert len(reasons) == 6
+    lines = {r.line for r in token_csv.rejected_rows(rows).collect()}
+    assert "\"['a']\",Toy,extra" in lines and "oops,Toy" in lines
     with pytest.raises(ValueError):
         token_csv.read_token_csv(spark, str(path), category="label")
     with pytest.raises(ValueError):
@@ -101,13 +114,13 @@ def test_token_csv_rows_and_rejects(spark, tmp_path):
 
 @pytest.mark.parametrize("single_quotes", [False, True])
 def test_token_csv_round_trip(spark, tmp_path, single_quotes):
-    df = spark.createDataFrame([("Book", ["good", "naïve"]), ("Toy, large", [])],
+    df = spark.createDataFrame([("Book", ["good", "naïve"]), ("Toy, large", []), ("Car", ["it's", "ok", "a\"b", "c\\d"])],
                                "category string, tokens array<string>")
     path = str(tmp_path / "csv")
     tables.write_token_csv(df, path, single_quotes=single_quotes)
     back = token_csv.valid_rows(token_csv.read_token_csv(spark, path))
     assert {(r.category, tuple(r.tokens)) for r in back.collect()} == {
-        ("Book", ("good", "naïve")), ("Toy, large", ())}
+        ("Book", ("good", "naïve")), ("Toy, large", ()), ("Car", ("it's", "ok", "a\"b", "c\\d"))}
 
 
 @pytest.fixture
@@ -141,10 +154,13 @@ def test_vocabulary_of_a_report(spark, tmp_path):
     assert sorted(r.term for r in terms) == ["a^b", "fun", "good"]
 
 
-def test_vocabulary_line_refuses_to_gather_too_much(scored):
-    assert reports.vocabulary_line(scored, limit=5).first().line == "v w x y z"
-    with pytest.raises(Exception, match="write_terms"):
-        reports.vocabulary_line(scored, limit=4).collect()
+def test_marked_vocabulary_may_look_like_scores(spark, tmp_path):
+    top = spark.createDataFrame([("b", "x:3", 2.0, 1), ("b", "y", 1.0, 2)],
+                                "category string, term string, chi2 double, rank int")
+    path = str(tmp_path / "report")
+    tables.write_lines(reports.report_lines(top, mark="vocabulary: "), path)
+    terms = words.read_report_vocabulary(spark, path, "vocabulary: ").collect()
+    assert sorted(r.term for r in terms) == ["x:3", "y"]
 
 
 @pytest.mark.parametrize("one_per_line", [True, False])
