@@ -32,8 +32,8 @@ COORDINATES = 256  # minwise values per document; four bits of each form its ske
 LONGS = COORDINATES // 16
 BRANCHED = 64      # of them, those that nodes branch on
 TREES = 12         # a pair at similarity 0.8 shares no first node with probability 0.2 ** 12
-DEPTH = 6          # levels of branching; what is still large then is compared all the same
-SMALL = 64         # documents in a node that are compared without branching further
+DEPTH = 5          # levels of branching; what is still large then is compared all the same
+SMALL = 128        # documents in a node that are compared without branching further
 PIVOTS = 4         # pivots of a first node
 VOTES = 3          # first nodes shared with a pivot before it is looked at
 TRIED = 3          # pivots that a document is compared with in full
@@ -268,11 +268,15 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     groups = durable(connected_components(links), "groups")
     owned = nodes.drop("pivots").join(groups.withColumnRenamed("id", "doc"), "doc", "left").select(
         "node", "doc", F.coalesce("component", "doc").alias("component"))
-    leaves = _leaves(owned, signatures).join(signatures.drop("tokens"), "doc")
+    leaves = _leaves(owned, signatures)
+    homes = leaves.groupBy("doc").agg(F.collect_set("node").alias("homes"))   # a few per tree
+    leaves = leaves.join(homes, "doc").join(signatures.drop("tokens"), "doc")
     a, b = leaves.alias("a"), leaves.alias("b")
-    # Documents that look alike to one of another component in the same leaf.
+    # Documents that look alike to one of another component in the same leaf. Two that
+    # share several leaves are compared in the first of them only.
+    first = F.array_min(F.array_intersect("a.homes", "b.homes")) == F.col("a.node")
     alike = durable(a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-                           & (_misses("a", "b") <= MISSES), "left_semi").select("node", "doc", "component"), "leaves")
+                           & (_misses("a", "b") <= MISSES) & first, "left_semi").select("node", "doc", "component"), "leaves")
     merged = durable(connected_components(_compared(texts, alike, shingle, percent)), "groups")
     copied = made.select("doc_id", "n_shingles", "print").join(copies, "print", "left")
     label = (copied.join(groups.withColumnRenamed("id", "doc"), "doc", "left")
