@@ -3,7 +3,7 @@
 Every tree sends a document to the node named by one of its minwise shingles. Nodes that
 hold unlinked documents and are still large branch again on further minwise shingles,
 chosen by the node; small ones are compared exhaustively. Independent trees bring the
-recall of a pair at the threshold to more than 0.9999. All links are confirmed on
+recall of a pair at the threshold to more than 0.9998. All links are confirmed on
 the full shingle sets.
 
 Only what can change a component is compared. A first round tries to link each document
