@@ -120,15 +120,15 @@ def counting_model(documents: DataFrame, spec: FeatureSpec) -> PipelineModel:
     """Tokenizer, stop words and a count vectorizer over the ranked vocabulary.
 
     The estimator of the vectorizer hands the best terms of *every* partition to the
-    driver. Here the vocabulary is ranked as a DataFrame, so only the final list, at
-    most ``vocabulary_size`` terms, gets there, and ties are settled by term.
+    driver. Here the counts are written once and cut off at a frequency, so only the
+    final list, at most ``vocabulary_size`` terms, gets there, and ties are settled by term.
     """
     tokenizing = [tokenizer_stage(spec), stop_word_stage(spec)]
     tokens = PipelineModel(tokenizing).transform(documents)
     least = spec.min_df if spec.min_df >= 1 else spec.min_df * documents.count()
-    ranked = vocabulary_table(term_frequencies(tokens, [], "clean_tokens", min_length=0),
-                              spec.vocabulary_size, least)
-    terms = [row.term for row in ranked.select("term").collect()]
+    frequencies = term_frequencies(tokens, [], "clean_tokens", min_length=0)
+    ranked = most_frequent(durable(document_frequencies(frequencies, least), "vocabulary"), spec.vocabulary_size)
+    terms = [row.term for row in sorted(ranked.collect(), key=lambda row: (-row.cf, row.term))]
     return PipelineModel([*tokenizing, CountVectorizerModel.from_vocabulary(
         terms, inputCol="clean_tokens", outputCol="tf")])
 
@@ -192,9 +192,39 @@ def document_frequencies(frequencies: DataFrame, min_df: float = 1) -> DataFrame
 
 def vocabulary_table(frequencies: DataFrame, size: int = K.VOCABULARY_SIZE,
                      min_df: float = K.MIN_DOCUMENT_FREQUENCY) -> DataFrame:
-    """The ``size`` most frequent terms, ties by term."""
-    return (document_frequencies(frequencies, min_df)
-            .orderBy(F.col("cf").desc(), F.col("term").asc()).limit(size))
+    """The ``size`` most frequent terms, ties by term; rows come in no order."""
+    return most_frequent(document_frequencies(frequencies, min_df), size)
+
+
+def most_frequent(counted: DataFrame, size: int) -> DataFrame:
+    """The ``size`` rows ``(term, df, cf)`` with the highest ``cf``, ties by term.
+
+    A histogram gives the frequency at which the running number of terms reaches
+    ``size``, a second one, of the terms with just that frequency, the first letters.
+    Everything before that point is in, and only the terms at it are ranked. The windows
+    see one row per distinct frequency, of which N occurrences allow sqrt(2 N), and
+    one per beginning of a word.
+    """
+    terms = counted.withColumn("start", F.substring("term", 1, 4))
+    at = _reached(terms.groupBy("cf").agg(F.count(F.lit(1)).alias("terms")),
+                  "cf", F.col("cf").desc(), F.lit(size))
+    tied = F.col("cf") == at["cf"]
+    within = _reached(terms.filter(tied).groupBy("start").agg(F.count(F.lit(1)).alias("terms")),
+                      "start", F.col("start").asc(), at["left"])
+    before = F.coalesce((F.col("cf") > at["cf"]) | (tied & (F.col("start") < within["start"])), F.lit(True))
+    last = (terms.filter(tied & (F.col("start") == within["start"])).orderBy("term").limit(size)
+            .withColumn("place", F.row_number().over(Window.orderBy("term")))
+            .filter(F.col("place") <= within["left"]).drop("place"))
+    return terms.filter(before).unionByName(last).drop("start")
+
+
+def _reached(levels: DataFrame, level: str, order: Column, wanted: Column) -> Column:
+    """The level at which ``terms``, summed in ``order``, reach ``wanted``, and how many of
+    its own terms that takes (``left``); null if they never do."""
+    running = levels.withColumn("running", F.sum("terms").over(Window.orderBy(order)))
+    left = (wanted - F.col("running") + F.col("terms")).alias("left")
+    return (running.filter(F.col("running") >= wanted)
+            .agg(F.min_by(F.struct(level, left), "running").alias("reached")).scalar())
 
 
 def idf_table(vocabulary: DataFrame, documents: DataFrame) -> DataFrame:
