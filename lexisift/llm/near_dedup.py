@@ -40,6 +40,7 @@ TRIED = 3          # pivots that a document is compared with in full
 MISSES = 73        # differing sketch values of 256 beyond which a pair is not tried (4 sd at 0.8)
 SALTED = 1_000     # documents that meet one copy of a pivot's set
 BLOCK = 128        # documents of a node that are compared in one block with as many others
+NEEDED_MAPS = 1_024  # bitmaps of 32,768 bits that tell which texts a join needs: 4 MB
 _BATCH = 400_000   # shingles hashed at a time
 
 
@@ -98,11 +99,27 @@ def _sets(shingle: int):
     return run
 
 
+def _needed(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` without most of those that ``ids`` lacks, so that a join moves fewer of them.
+
+    Ids are hashed to the bits of a broadcast map of fixed size. A text whose bit another
+    id has set stays as well; once the ids fill the map, all texts stay.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(NEEDED_MAPS * 32_768))
+    maps = ids.select((spot / 32_768).cast("int").alias("map"), F.pmod(spot, F.lit(32_768)).alias("bit")).groupBy("map").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+    bit = F.pmod(spot, F.lit(32_768)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), F.pmod(bit, F.lit(8)) + 1))
+    return (texts.join(F.broadcast(maps), (spot / 32_768).cast("int") == F.col("map"))
+            .where(marked != 0).select(*texts.columns))
+
+
 def _placed(texts: DataFrame, places: DataFrame, shingle: int) -> DataFrame:
     """The sets of documents, dealt by ``(node, i, j)``; each is made once and copied from there."""
     at = places.groupBy("doc_id", F.pmod(F.xxhash64("node", "i"), F.lit(64)).alias("slot")).agg(
         F.collect_list(F.struct("node", "i", "j", "owner")).alias("places"))
-    return texts.join(at, "doc_id").select("doc_id", "text", "places").mapInPandas(
+    return _needed(texts, places).join(at, "doc_id").select("doc_id", "text", "places").mapInPandas(
         _sets(shingle), "node long, i int, j int, owner long, doc_id long, hashes array<long>").repartition("node", "i", "j")
 
 
