@@ -94,16 +94,9 @@ def feature_statistic(spark, folder):
             .withColumn("statistic", F.round("statistic", 6)))
 
 
-_FITTED: dict[tuple, X.Features] = {}
-
-
 def fitted(spark: SparkSession, folder: str, spec: X.FeatureSpec = X.FeatureSpec()) -> X.Features:
-    """The stages fitted once per session, table folder and specification."""
-    key = (spark.sparkContext.applicationId, folder, spec)
-    if key not in _FITTED:
-        _FITTED[key] = X.fit_features(
-            corpora.documents(spark, folder, null_text="drop"), spec, keep=["doc_id"])
-    return _FITTED[key]
+    """The stages fitted on all documents of a folder, anew for every query."""
+    return X.fit_features(corpora.documents(spark, folder, null_text="drop"), spec, keep=["doc_id"])
 
 
 @query("ml_tfidf_vocab", f"""{FREQUENCIES}

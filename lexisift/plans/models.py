@@ -1,10 +1,13 @@
 """Classifier queries. Iterative, so they are checked by rows; formulas are tested apart.
 
-The grids here have two points; the full grids are the defaults of ``svm_grid``.
+The grids here have two points; the full grids are the defaults of ``svm_grid``. Every
+query fits its own models, so none answers from an earlier one.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,36 +27,11 @@ FOLDS = 2
 
 COLUMNS = ["doc_id", "split", "category", "label"]
 
-_MODELS: dict[tuple, object] = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, build):
-    """Fitted models are shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _MODELS:
-        _MODELS[key] = build()
-    return _MODELS[key]
-
-
 def _documents(spark: SparkSession, folder: str, parts) -> DataFrame:
     documents = corpora.documents(spark, folder, null_text="drop")
     return S.assign_splits(documents, "doc_id", [w for _, w in parts], [n for n, _ in parts])
 
 
-def features(spark: SparkSession, folder: str) -> X.Features:
-    """Feature stages fitted on the training part only; selected terms not yet normalized."""
-    def build():
-        documents = _documents(spark, folder, THREE_WAY)
-        return X.fit_features(documents, X.FeatureSpec(normalize="none"),
-                              keep=["doc_id", "split"], fit_on=F.col("split") == "train")
-    return _once(spark, folder, "features", build)
-
-
-def training(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(spark, folder, "training", lambda: X.training_frame(
-        features(spark, folder).frame, COLUMNS + ["features"]))
-
-
 def _part(frame: DataFrame, name: str) -> DataFrame:
     return frame.filter(F.col("split") == name)
 
@@ -66,72 +44,82 @@ def _grid(svm):
     return C.svm_grid(svm, REG_PARAM, STANDARDIZATION, MAX_ITER)
 
 
-def baseline(spark: SparkSession, folder: str):
-    return _once(spark, folder, "baseline", lambda: C.normalized_classifier(
-        _svm(), "features", C.PARALLEL_FITS).fit(_part(training(spark, folder), "train")))
+class Models:
+    """What one query fits from the tables of a folder; each part is fitted once, when first used."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    @cached_property
+    def features(self) -> X.Features:
+        """Feature stages fitted on the training part only; selected terms not yet normalized."""
+        documents = _documents(self.spark, self.folder, THREE_WAY)
+        return X.fit_features(documents, X.FeatureSpec(normalize="none"),
+                              keep=["doc_id", "split"], fit_on=F.col("split") == "train")
 
+    @cached_property
+    def frame(self) -> DataFrame:
+        return X.training_frame(self.features.frame, COLUMNS + ["features"])
 
-def tuned(spark: SparkSession, folder: str):
-    def build():
-        train = S.assign_folds(_part(training(spark, folder), "train"), "doc_id", FOLDS)
+    @cached_property
+    def baseline(self):
+        svm = C.linear_svm(features="scaled")
+        return C.normalized_classifier(svm, "features", C.PARALLEL_FITS).fit(_part(self.frame, "train"))
+
+    @cached_property
+    def tuned(self):
+        train = S.assign_folds(_part(self.frame, "train"), "doc_id", FOLDS)
         svm = _svm()
         return C.cross_validate(C.normalized_classifier(svm, "features"), _grid(svm), train,
                                 folds=FOLDS, fold_column="fold")
-    return _once(spark, folder, "tuned", build)
 
 
 @query("svm_ovr_predict")
 def predict(spark, folder):
     """Predicted category of every test document."""
-    labels = features(spark, folder).labels
-    predictions = baseline(spark, folder).transform(_part(training(spark, folder), "test"))
-    return C.with_predicted_category(predictions, labels).select(
+    models = Models(spark, folder)
+    predictions = models.baseline.transform(_part(models.frame, "test"))
+    return C.with_predicted_category(predictions, models.features.labels).select(
         "doc_id", "category", "predicted_category")
 
 
 @query("cv_grid")
 def cv_grid(spark, folder):
-    return C.grid_report(spark, tuned(spark, folder))
+    return C.grid_report(spark, Models(spark, folder).tuned)
 
 
 @query("best_params")
 def best_params(spark, folder):
-    return C.best_parameters(spark, tuned(spark, folder))
+    return C.best_parameters(spark, Models(spark, folder).tuned)
 
 
 @query("tuned_vs_base")
 def tuned_vs_base(spark, folder):
-    test = _part(training(spark, folder), "test")
-    return C.compare_models(test, {"baseline": baseline(spark, folder),
-                                   "tuned": tuned(spark, folder).bestModel})
+    models = Models(spark, folder)
+    return C.compare_models(_part(models.frame, "test"), {"baseline": models.baseline,
+                                                          "tuned": models.tuned.bestModel})
 
 
 @query("tvs_grid")
 def tvs_grid(spark, folder):
-    def build():
-        svm = _svm()
-        train = training(spark, folder).filter(F.col("split") != "test")
-        return C.validate(C.normalized_classifier(svm, "features"), _grid(svm), train)
-    return C.grid_report(spark, _once(spark, folder, "validated", build))
+    svm = _svm()
+    train = Models(spark, folder).frame.filter(F.col("split") != "test")
+    return C.grid_report(spark, C.validate(C.normalized_classifier(svm, "features"), _grid(svm), train))
 
 
 @query("light_vs_heavy")
 def light_vs_heavy(spark, folder):
     """2,000 against 500 selected terms, each tuned and tested on its own features."""
-    light = C.compare_models(_part(training(spark, folder), "test"),
-                             {f"top {K.SELECTED_FEATURES}": tuned(spark, folder).bestModel})
-
-    def build():
-        heavy = X.training_frame(
-            X.reselect(features(spark, folder), K.SELECTED_FEATURES_HEAVY,
-                       fit_on=F.col("split") == "train"), COLUMNS + ["heavy_features"])
-        train = S.assign_folds(_part(heavy, "train"), "doc_id", FOLDS)
-        svm = _svm("heavy_features")
-        model = C.cross_validate(C.one_vs_rest(svm), _grid(svm), train, folds=FOLDS,
-                                 fold_column="fold")
-        return heavy, model.bestModel
-
-    heavy, model = _once(spark, folder, "heavy", build)
+    models = Models(spark, folder)
+    light = C.compare_models(_part(models.frame, "test"),
+                             {f"top {K.SELECTED_FEATURES}": models.tuned.bestModel})
+    heavy = X.training_frame(
+        X.reselect(models.features, K.SELECTED_FEATURES_HEAVY,
+                   fit_on=F.col("split") == "train"), COLUMNS + ["heavy_features"])
+    train = S.assign_folds(_part(heavy, "train"), "doc_id", FOLDS)
+    svm = _svm("heavy_features")
+    model = C.cross_validate(C.one_vs_rest(svm), _grid(svm), train, folds=FOLDS,
+                             fold_column="fold").bestModel
     return light.unionByName(C.compare_models(
         _part(heavy, "test"), {f"top {K.SELECTED_FEATURES_HEAVY}": model}))
 
@@ -139,12 +127,9 @@ def light_vs_heavy(spark, folder):
 @query("tvs_text_grid")
 def text_grid(spark, folder):
     """Features fitted inside the search, with the number of selected terms in the grid."""
-    def build():
-        svm = C.linear_svm(max_iter=MAX_ITER[0])
-        estimator = C.text_classifier(svm, X.FeatureSpec())
-        selector = next(s for s in estimator.getStages() if hasattr(s, "numTopFeatures"))
-        grid = C.svm_grid(svm, REG_PARAM[:1], STANDARDIZATION, MAX_ITER, selector,
-                          K.GRID_NUM_FEATURES)
-        train = _part(_documents(spark, folder, TWO_WAY), "train")
-        return C.validate(estimator, grid, train)
-    return C.grid_report(spark, _once(spark, folder, "text", build))
+    svm = C.linear_svm(max_iter=MAX_ITER[0])
+    estimator = C.text_classifier(svm, X.FeatureSpec())
+    selector = next(s for s in estimator.getStages() if hasattr(s, "numTopFeatures"))
+    grid = C.svm_grid(svm, REG_PARAM[:1], STANDARDIZATION, MAX_ITER, selector, K.GRID_NUM_FEATURES)
+    train = _part(_documents(spark, folder, TWO_WAY), "train")
+    return C.grid_report(spark, C.validate(estimator, grid, train))
