@@ -2,7 +2,9 @@
 
 For each language a raw zstandard dictionary is cut from labelled documents. A text is
 encoded once with each dictionary, and the language whose dictionary gives the smallest
-result is chosen; a text that two languages fit about alike is rejected.
+result is chosen; a text that two languages fit about alike is rejected. A dictionary saves
+a bounded number of bytes, so long texts are encoded in blocks of about one size, all of
+them, and the sizes added up: the margin then does not shrink with length.
 """
 
 from __future__ import annotations
@@ -15,12 +17,14 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexisift.llm.tables import blocks_for
 
 SAMPLE_DOCS = 48         # labelled documents per language that a dictionary is cut from
 SAMPLE_CHARS = 2_400     # characters that each of them adds at most
 LANGUAGES = 64           # languages a model may have, so that it stays within about 20 MB
 LEVEL = 6                # compression of long texts
 SHORT, SHORT_LEVEL = 512, 12   # shorter texts (bytes) are compressed harder, as ties are likelier
+BLOCK = 1 << 15          # bytes of a long text that are encoded at a time
 NARROW = 0.005           # margin of the best over the second, as a share of its size
 UNKNOWN = "und"
 _LETTERS = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -31,6 +35,13 @@ def plain(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS)
 
 
+def blocks(content: bytes) -> list[bytes]:
+    """The whole content in pieces of about one size, at most ``BLOCK`` bytes each."""
+    count = blocks_for(len(content), BLOCK)
+    ends = [len(content) * k // count for k in range(count + 1)]
+    return [content[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def training_rows(doc_id: str = "doc_id") -> Column:
     """Rows that may be learned from: crc32 of the id as text is not 1 modulo 3."""
     return F.crc32(F.col(doc_id).cast("string")) % 3 != 1
@@ -79,7 +90,9 @@ class Encoders:
             return UNKNOWN, 0.0, True
         content = plain(text)
         compressors = self.short if len(content) < SHORT else self.long
-        sizes = sorted((len(c.compress(content)), name) for c, name in zip(compressors, self.names, strict=True))
+        parts = blocks(content)
+        sizes = sorted((sum(len(c.compress(part)) for part in parts), name)
+                       for c, name in zip(compressors, self.names, strict=True))
         if len(sizes) == 1:
             return sizes[0][1], 1.0, False
         margin = (sizes[1][0] - sizes[0][0]) / sizes[0][0]

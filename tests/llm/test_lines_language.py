@@ -77,6 +77,23 @@ def test_labels_of_held_out_rows_are_not_learned(make, texts):
         map(tuple, language.identify(make(texts)).collect()))
 
 
+def test_clean_long_texts_are_not_rejected(make, texts):
+    """The margin does not shrink with length."""
+    encoders = language.Encoders(language.learn_dictionaries(make(texts)))
+    prose = {n: " ".join(t for _, t, name in texts[200:] if name == n) for n in ("aa", "bb", "cc")}
+    for name, once in prose.items():
+        words = once.split()
+        def text(size, seed):
+            rng = random.Random(seed)
+            return " ".join(rng.choices(words, k=size // 8))
+        short, long = text(600_000, 1), text(3_000_000, 2)
+        assert len(long) > 2_000_000
+        (_, few, _), (found, many, rejected) = encoders.decide(short), encoders.decide(long)
+        assert found == name and not rejected and abs(few - many) < 0.05
+    assert b"".join(language.blocks(b"x" * 100_001)) == b"x" * 100_001
+    assert max(map(len, language.blocks(b"x" * 100_001))) <= language.BLOCK
+
+
 def test_language_odd_rows(make, texts):
     docs = make([*texts, (900, None), (901, ""), (902, "123 ²"), (None, texts[0][1]), (903, "é" * 200_000), (904, texts[2][1], None)])
     found = {r.doc_id: r for r in language.identify(docs).collect()}
