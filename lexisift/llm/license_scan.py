@@ -1,14 +1,18 @@
-"""License scans with a trained paragraph classifier.
-
-Paragraphs are bags of hashed word n-grams. A multinomial logistic regression, trained on
-variants of license templates and on paragraphs of the documents, names the family or
-``unknown``; how sure it has to be is calibrated on paragraphs kept out of training. A
-prediction counts only if a template of that family is confirmed in the paragraph.
+"""License scans with a trained classifier of word windows.
+
+A paragraph is a run of non-blank lines, so a wrapped notice is whole. Every window of a
+paragraph, half as long again as a template, that holds enough of the template's word pairs
+is narrowed to the words from the first of these pairs to the last. This passage, a bag of
+hashed word n-grams, goes to a multinomial logistic regression, which is trained on variants
+of license templates and on lines of the documents and names the family or ``unknown``; how
+sure it has to be is calibrated on lines kept out of training. A passage counts if it is
+named as the family of the template that it holds.
 """
 
 from __future__ import annotations
 
 import random
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +28,9 @@ from lexisift.llm.hashing import mix
 BUCKETS = 1 << 13        # hashed n-gram features
 SAMPLE_LINES = 4_000     # paragraphs of documents in the training sample
 VARIANTS = 40            # made from each template
-CONFIRMED = 0.7          # share of a template's word pairs that a paragraph must hold
+CONFIRMED = 0.7          # share of a template's word pairs that a passage must hold
+SLACK = 1.5              # words of a window as a share of those of the template
+_MARKS = b"#/*%!|<>-=~+_`"   # at the ends of words: comment signs and rulers
 UNKNOWN = "unknown"
 
 # Usual short notices of each family.
@@ -54,26 +60,108 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
 
 def _features(hashes: np.ndarray) -> np.ndarray:
     """Buckets of the words and of the pairs of words in a row."""
-    pairs = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
-    return (np.concatenate([hashes, pairs]) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return (np.concatenate([hashes, _pairs(hashes)]) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
 def _words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().translate(None, b".,;:()\"'").split()
+    words = text.encode("utf-8", "surrogatepass").lower().translate(None, b".,;:()\"'").split()
+    return [w for w in (x.strip(_MARKS) for x in words) if w]
+
+
+def _pairs(hashes: np.ndarray) -> np.ndarray:
+    return mix(hashes[:-1] * np.uint64(3) + hashes[1:])
 
 
-def _pairs(text: str) -> set[tuple[bytes, bytes]]:
-    words = _words(text)
-    return set(zip(words, words[1:], strict=False))
+# Each template as family, number of words and places of its pairs in the table of all pairs.
+_LENGTHS = [(family, len(_words(t)), _pairs(_word_hashes(_words(t)))) for family, texts in TEMPLATES.items() for t in texts]
+_PAIRS = np.unique(np.concatenate([pairs for _, _, pairs in _LENGTHS]))
+_HELD = np.array([np.isin(_PAIRS, pairs) for _, _, pairs in _LENGTHS])
+_MAYBE = np.zeros(BUCKETS, bool)
+_MAYBE[_PAIRS & np.uint64(BUCKETS - 1)] = True
 
 
-_TEMPLATE_PAIRS = {family: [_pairs(t) for t in texts] for family, texts in TEMPLATES.items()}
+def _paragraphs(text: str) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """All words of a text, the line number of each and the paragraph of each.
+
+    A word broken at its hyphen is one word, of the line that it starts on.
+    """
+    words, sizes, parts, part, broken = [], [], [], 0, False
+    for line in text.split("\n"):
+        found = _words(line)
+        part += not found
+        if broken and found:
+            words[-1] += b"-" + found.pop(0)
+        broken = len(line := line.rstrip()) > 1 and line[-1] == "-" and line[-2].isalnum() and bool(words)
+        words += found
+        sizes.append(len(found))
+        parts.append(part)
+    return words, np.repeat(np.arange(len(sizes)), sizes), np.repeat(parts, sizes)
+
+
+def _tightest(at: list[int], pairs: list[int], low: int, high: int, reach: int) -> tuple[int, int, int]:
+    """Of the windows that start at hits ``low`` to ``high``: ``(most pairs, first hit, last hit)``, the shortest."""
+    best = (0, 0, low, low)
+    for i in range(low, high + 1):
+        seen, last = set(), i
+        for j in range(i, len(at)):
+            if at[j] - at[i] >= reach:
+                break
+            if pairs[j] not in seen:
+                seen.add(pairs[j])
+                last = j
+        best = max(best, (len(seen), at[i] - at[last], -i, last))
+    return best[0], -best[2], best[3]
+
+
+def _passages(at: np.ndarray, pairs: np.ndarray, need: float, reach: int) -> Iterator[tuple[int, int]]:
+    """First and last hit of the passages that hold ``need`` different pairs within ``reach``."""
+    if len(at) < need:
+        return
+    at, pairs = at.tolist(), pairs.tolist()
+    inside, end, start = Counter(), 0, 0
+    while start < len(at):
+        while end < len(at) and at[end] - at[start] < reach:
+            inside[pairs[end]] += 1
+            end += 1
+        step = start + 1
+        if len(inside) >= need:
+            _, first, last = _tightest(at, pairs, start, end - 1, reach)
+            yield first, last
+            step = last + 1
+        for k in range(start, min(step, end)):
+            inside[pairs[k]] -= 1
+            if not inside[pairs[k]]:
+                del inside[pairs[k]]
+        start = step
+        if end < start:
+            end = start
+
+
+def candidates(hashes: np.ndarray, parts: np.ndarray) -> list[tuple[str, int, int]]:
+    """``(family, first word, last word)`` of all passages that hold enough of a template."""
+    if len(hashes) < 2:
+        return []
+    pairs = _pairs(hashes)
+    at = np.flatnonzero(_MAYBE[pairs & np.uint64(BUCKETS - 1)] & (parts[:-1] == parts[1:]))
+    place = np.minimum(np.searchsorted(_PAIRS, pairs[at]), len(_PAIRS) - 1)
+    real = _PAIRS[place] == pairs[at]
+    at, place = at[real], place[real]
+    out = []
+    for (family, length, _), held in zip(_LENGTHS, _HELD, strict=True):
+        own, need, reach = held[place], CONFIRMED * held.sum(), int(SLACK * length)
+        if own.sum() < need:
+            continue
+        mine, which = at[own], place[own]
+        # Paragraphs are moved apart, so that no window reaches over their border.
+        apart = mine + parts[mine] * (reach + 1)
+        out += [(family, int(mine[a]), int(mine[b]) + 1) for a, b in _passages(apart, which, need, reach)]
+    return out
 
 
 def confirmed(text: str, family: str) -> bool:
-    """Whether the paragraph holds enough of one template of the family."""
-    own = _pairs(text)
-    return any(len(own & t) >= CONFIRMED * len(t) for t in _TEMPLATE_PAIRS[family])
+    """Whether a passage of the text holds enough of one template of the family."""
+    words, _, parts = _paragraphs(text)
+    return any(f == family for f, _, _ in candidates(_word_hashes(words), parts))
 
 
 def _vector(text: str) -> SparseVector:
@@ -85,8 +173,8 @@ def _variants(text: str, others: list[str], rng: random.Random) -> Iterator[str]
     yield text
     for _ in range(VARIANTS):
         words = [w for w in text.split() if rng.random() > 0.1] or text.split()
-        around = rng.choice(others).split() if others and rng.random() < 0.3 else []
-        yield " ".join([*around[:rng.randrange(6)], *words])
+        before, after = (rng.choice(others).split() if others and rng.random() < 0.3 else [] for _ in range(2))
+        yield " ".join([*before[:rng.randrange(6)], *words, *after[:rng.randrange(6)]])
 
 
 def train(documents: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray, float]:
@@ -124,16 +212,22 @@ def _probabilities(features: np.ndarray, weights: np.ndarray, intercepts: np.nda
 
 def _scan(families: list[str], weights: np.ndarray, intercepts: np.ndarray, least: float):
     def of(text: str) -> list[tuple[int, str]]:
-        out = []
-        for number, line in enumerate(text.split("\n")):
-            words = _words(line)
-            if not words:
-                continue
-            p = _probabilities(_features(_word_hashes(words)), weights, intercepts)
+        words, lines, parts = _paragraphs(text)
+        hashes = _word_hashes(words)
+        spans = []
+        for family, first, last in candidates(hashes, parts):
+            p = _probabilities(_features(hashes[first:last + 1]), weights, intercepts)
             best = int(p.argmax())
-            if families[best] != UNKNOWN and p[best] > least and confirmed(line, families[best]):
-                out.append((number, families[best]))
-        return out
+            if families[best] == family and p[best] > least:
+                spans.append((family, first, last))
+        out, reached, before = set(), -1, ""
+        for family, first, last in sorted(spans):
+            # Templates of one family that share words are one notice.
+            if family != before or first > reached:
+                out.add((int(lines[first]), family))
+                reached = last
+            before, reached = family, max(reached, last)
+        return sorted(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,8 +243,10 @@ def _scan(families: list[str], weights: np.ndarray, intercepts: np.ndarray, leas
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """One row per document: ``doc_id, n_license, families, lines``.
 
-    A paragraph is a line. ``families`` are those found, sorted and comma-joined; ``lines``
-    has ``family:line number`` (from 0) in order. Null, empty and wordless texts have none.
+    ``families`` are those found, sorted and comma-joined; ``lines`` has ``family:line number``
+    (from 0) in order, the line being that of a notice's first word. A notice may go on over
+    several lines up to a blank one (or one of comment signs alone), and may stand anywhere
+    among other words. Null, empty and wordless texts have none.
     Repeated rows and rows without ``doc_id`` give a row each; other columns are ignored.
     """
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 import string
 
 import numpy as np
@@ -95,6 +96,31 @@ def test_markov_model_finds_random_strings_only(make):
     assert all(found[k].n_markov == 0 and found[k].n_assign == 1 for k in range(200))
 
 
+def test_wrapped_and_embedded_licenses(make):
+    """Notices are found however their lines are broken, and among other words."""
+    words = ["ordinary", "text", "about", "nothing", "public", "version", "work", "file", "license", "holder"]
+    rng = np.random.default_rng(3)
+    def some(n):
+        return " ".join(rng.choice(words, n))
+    notices = [(f, t) for f, texts in license_scan.TEMPLATES.items() for t in texts]
+    docs, expected = [(k, f"{some(12)}\n{some(12)}") for k in range(100)], {}
+    for k, (family, t) in enumerate(notices):
+        for kind, (text, line) in enumerate([
+                (f"{some(9)}\n\n{textwrap.fill(t, 30)}\n\n{some(9)}", 2),
+                ("x = 1\n#\n" + textwrap.indent(textwrap.fill(t, 72), "# "), 2),
+                ("/*\n" + textwrap.indent(textwrap.fill(t, 72), " * ", lambda _: True) + "\n */\n" + some(5), 1),
+                (f"{some(8)}\n{some(20)} {t} {some(20)}", 1), (f"{some(300)} {t} {some(200)}", 0)]):
+            docs.append((1000 + 10 * k + kind, text))
+            expected[docs[-1][0]] = (1, family, f"{family}:{line}")
+    broken = notices[-1][1].split()
+    docs.append((5000, " ".join(broken[:7]) + "\n\n" + " ".join(broken[7:])))
+    docs.append((5001, "Licensed under the MIT License.\nLicensed under the MIT License.\nLicensed under CC BY 4.0."))
+    found = {r.doc_id: (r.n_license, r.families, r.lines) for r in license_scan.scan_licenses(make(docs)).collect()}
+    assert {k: found[k] for k in expected} == expected
+    assert all(found[k][0] == 0 for k in [*range(100), 5000])
+    assert found[5001] == (3, "cc-by,mit", "mit:0,mit:1,cc-by:2")
+
+
 def test_licenses(make):
     words = ["ordinary", "text", "about", "nothing", "public", "version", "work", "file", "license", "holder"]
     rng = np.random.default_rng(2)
