@@ -1,8 +1,9 @@
 """Packing documents into training sequences by lexical retrieval.
 
 Full windows of a long document are cut off as they are. What is left of each document,
-its tail, goes to a shard that keeps a BM25 inverted index over the token ids of its
-tails; document frequencies are those of all documents. Each sequence starts
+its tail, goes to a shard that keeps a BM25 inverted index of its documents: each is
+described by all of its token ids, those of the full windows included, and document
+frequencies and the mean length are those of all whole documents. Each sequence starts
 from a seed tail and is filled with its best unused neighbours; the last one is cut where
 the window ends and its rest seeds the next sequence.
 """
@@ -37,24 +38,40 @@ def _tokenized(vocabulary: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         for batch in batches:
-            tokens, whole, tails = [], [], []
+            tokens, whole, tails, terms, tfs = [], [], [], [], []
             for text in batch.column("text"):
                 ids = np.append(encode(text.as_py() or ""), np.uint32(END_ID)).astype(np.uint32)
                 cut = len(ids) // length * length
                 tokens.append(len(ids))
                 whole.append([_crc(ids[k:k + length]) for k in range(0, cut, length)])
                 tails.append(ids[cut:].astype("<u4").tobytes())
+                # A document without full windows is its tail, from which its terms follow.
+                term, tf = np.unique(ids, return_counts=True) if cut else (None, None)
+                terms.append(term.astype("<u4").tobytes() if cut else None)
+                tfs.append(tf.astype("<u4").tobytes() if cut else None)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "doc_tokens": pa.array(tokens, pa.int64()),
-                "whole": pa.array(whole, pa.list_(pa.int64())), "tail": pa.array(tails, pa.binary())})
+                "whole": pa.array(whole, pa.list_(pa.int64())), "tail": pa.array(tails, pa.binary()),
+                "terms": pa.array(terms, pa.binary()), "tfs": pa.array(tfs, pa.binary())})
     return run
 
 
+def _terms(tail: bytes, terms: bytes | None, tfs: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids of the whole document and how often each stands in it."""
+    if terms is None:
+        return np.unique(np.frombuffer(tail, "<u4"), return_counts=True)
+    return np.frombuffer(terms, "<u4"), np.frombuffer(tfs, "<u4").astype(np.int64)
+
+
+def _described(batch: pa.RecordBatch | pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    for values in zip(*(batch.column(name) for name in ("tail", "terms", "tfs")), strict=True):
+        yield _terms(*(v.as_py() for v in values))
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(1 << 16, np.int64)
     for batch in batches:
-        for tail in batch.column("tail"):
-            ids = np.unique(np.frombuffer(tail.as_py(), "<u4"))
+        for ids, _ in _described(batch):
             if len(ids) and ids[-1] >= len(counts):
                 counts = np.concatenate([counts, np.zeros(int(ids[-1]) + 1 - len(counts), np.int64)])
             counts[ids] += 1
@@ -63,17 +80,22 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Index:
-    """BM25 inverted index of the tails of one shard."""
+    """BM25 inverted index of the documents of one shard.
+
+    ``described`` has the distinct ids and their counts of each whole document; without it
+    the tails are whole documents.
+    """
 
-    def __init__(self, tails: list[np.ndarray], weights: np.ndarray, mean: float):
+    def __init__(self, tails: list[np.ndarray], weights: np.ndarray, mean: float,
+                 described: list[tuple[np.ndarray, np.ndarray]] | None = None):
         self.terms, docs, tfs = [], [], []
-        for at, tail in enumerate(tails):
-            terms, tf = np.unique(tail, return_counts=True)
+        for at, (terms, tf) in enumerate(described or [np.unique(t, return_counts=True) for t in tails]):
+            size = tf.sum()
             useful = weights[terms] > 0     # a term in half of all documents adds nothing
             terms, tf = terms[useful], tf[useful]
             self.terms.append(terms)
             docs.append(np.full(len(terms), at))
-            tfs.append(tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(tail) / mean)) * weights[terms])
+            tfs.append(tf * (K1 + 1) / (tf + K1 * (1 - B + B * size / mean)) * weights[terms])
         flat = np.concatenate(self.terms)
         order = np.argsort(flat, kind="stable")
         self.docs, self.weights = np.concatenate(docs)[order], np.concatenate(tfs)[order]
@@ -93,12 +115,13 @@ class Index:
         return np.bincount(self.docs[at], self.weights[at], self.size)
 
 
-def fill(tails: list[np.ndarray], weights: np.ndarray, mean: float, length: int) -> list[list[tuple[int, int, int]]]:
+def fill(tails: list[np.ndarray], weights: np.ndarray, mean: float, length: int,
+         described: list[tuple[np.ndarray, np.ndarray]] | None = None) -> list[list[tuple[int, int, int]]]:
     """Sequences of ``(tail, start in it, length)``, all full but the last, smaller ones.
 
     What is left at the end is cut into powers of two, which need no padding.
     """
-    index = Index(tails, weights, mean)
+    index = Index(tails, weights, mean, described)
     unused = np.array([len(t) > 0 for t in tails])
     starts = np.zeros(len(tails), np.int64)
     sequences, current = [], None
@@ -154,7 +177,7 @@ def _packed(weights: np.ndarray, mean: float, length: int):
             for k, crc in enumerate(crcs.as_py()):
                 rows.append((at, k * length, length, crc, sequence, 0))
                 sequence += 1
-        for window in fill(tails, weights, mean, length):
+        for window in fill(tails, weights, mean, length, list(_described(table))):
             offset = 0
             for at, start, n in window:
                 begins = tokens[at] - len(tails[at]) + start
@@ -178,11 +201,11 @@ def pack(documents: DataFrame, vocabulary: str | None = None, length: int = LENG
     vocabulary = vocabulary or default_vocabulary()
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     tails = durable(rows.mapInArrow(_tokenized(vocabulary, length),
-                                    "doc_id long, doc_tokens long, whole array<long>, tail binary"), "tails")
+                                    "doc_id long, doc_tokens long, whole array<long>, tail binary, terms binary, tfs binary"), "tails")
     # At most one number per entry of the vocabulary reaches the driver.
     frequencies = tails.mapInArrow(_frequencies, "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
     found = frequencies.toArrow()
-    n, mean = tails.agg(F.count("*"), F.avg(F.length("tail") / 4)).first()
+    n, mean = tails.agg(F.count("*"), F.avg("doc_tokens")).first()
     token, df = found.column("token").to_numpy(), found.column("df").to_numpy()
     weights = np.zeros(int(token.max()) + 1 if len(token) else 1)
     weights[token] = np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))

@@ -1,8 +1,9 @@
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -100,6 +101,28 @@ def test_neighbours_share_words():
     assert alike >= 0.5
 
 
+def test_statistics_are_of_whole_documents(make, monkeypatch):
+    """Frequencies, mean length and terms include what stands in full windows."""
+    docs = [(1, "alpha " * 40 + "omega"), (2, "beta " * 30), (3, "alpha beta"), (4, None)]
+    seen, counted = [], {}
+    index = packing.Index
+    def spied(tails, weights, mean, described=None):
+        seen.append((weights, mean, [dict(zip(t.tolist(), n.tolist(), strict=True)) for t, n in described], tails))
+        return index(tails, weights, mean, described)
+    monkeypatch.setattr(packing, "Index", spied)
+    rows = [ids_of(t or "") + [0] for _, t in docs]
+    for row in rows:
+        for token in set(row):
+            counted[token] = counted.get(token, 0) + 1
+    batch = pa.RecordBatch.from_pydict({"doc_id": [i for i, _ in docs], "text": pa.array([t for _, t in docs], pa.string())})
+    made = list(packing._tokenized(VOCABULARY, 16)([batch]))
+    df = next(packing._frequencies(iter(made))).to_pydict()
+    assert dict(zip(df["token"], df["df"], strict=True)) == counted
+    list(packing._packed(np.ones(60_000), 20.0, 16)((pa.scalar(0),), pa.Table.from_batches(made)).to_pylist())
+    assert seen[0][2] == [dict(Counter(r)) for r in rows]
+    assert [len(t) for t in seen[0][3]] == [len(r) % 16 for r in rows]
+
+
 def totals(rollup, names):
     return {(r.source, r.lang): (r.documents, r.tokens, r.characters) for r in rollup.totals(names).collect()}
 
