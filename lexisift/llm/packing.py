@@ -1,7 +1,7 @@
 """Packing documents into training sequences by lexical retrieval.
 
 Full windows of a long document are cut off as they are. What is left of each document,
-its tail, goes to a shard that keeps a BM25 inverted index of its documents: each is
+its tail, goes to a shard of tails with like content, which keeps a BM25 inverted index of its documents: each is
 described by all of its token ids, those of the full windows included, and document
 frequencies and the mean length are those of all whole documents. Each sequence starts
 from a seed tail and is filled with its best unused neighbours; the last one is cut where
@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,8 +25,11 @@ from lexisift.session import durable
 
 LENGTH = 1024
 END_ID = 0
-SHARD_TAILS = 1_000     # tails of one shard
+SHARD_TAILS = 1_000     # tails of one shard, up to half as many again
+HASHES = 8              # weighted minwise terms that place a tail
+SPLITS = 1 << 14        # ranges of the placed tails at most; each is cut into shards
 K1, B = 1.2, 0.75       # BM25
+TAILS = "doc_id long, doc_tokens long, whole array<long>, tail binary, terms binary, tfs binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
@@ -167,12 +171,56 @@ def fill(tails: list[np.ndarray], weights: np.ndarray, mean: float, length: int,
     return sequences
 
 
+def races(weights: np.ndarray) -> np.ndarray:
+    """For every hash and id the value that is divided by the id's weight in a document."""
+    draws = np.random.default_rng(20).random((HASHES, len(weights)))
+    return np.where(weights > 0, -np.log1p(-draws) / np.maximum(weights, 1e-12), np.inf)
+
+
+def place(terms: np.ndarray, tf: np.ndarray, race: np.ndarray, mean: float) -> bytes:
+    """The ids that win under each hash, so that documents alike in BM25 weight sort together.
+
+    Two documents share an entry with the likeness of their weighted terms as probability;
+    later entries split what shares the earlier ones.
+    """
+    gain = tf * (K1 + 1) / (tf + K1 * (1 - B + B * tf.sum() / mean))
+    values = race[:, terms] / gain
+    best = values.argmin(axis=1)
+    won = np.where(np.isfinite(values[np.arange(HASHES), best]), terms[best].astype(np.int64) + 1, 0)
+    return won.astype(">u4").tobytes()
+
+
+def _placed(weights: np.ndarray, mean: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        race = races(weights)
+        for batch in batches:
+            places = [place(terms, tf, race, mean) for terms, tf in _described(batch)]
+            yield batch.append_column("place", pa.array(places, pa.binary()))
+    return run
+
+
+def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Sorted rows in runs of ``SHARD_TAILS``, or evenly cut near the end."""
+    held = None
+    for batch in batches:
+        more = pa.Table.from_batches([batch])
+        held = pa.concat_tables([held, more]) if held is not None else more
+        while held.num_rows >= 2 * SHARD_TAILS:
+            yield held.slice(0, SHARD_TAILS)
+            held = held.slice(SHARD_TAILS)
+    if held is not None and held.num_rows:
+        cut = held.num_rows if held.num_rows <= 1.5 * SHARD_TAILS else held.num_rows // 2
+        yield held.slice(0, cut)
+        if cut < held.num_rows:
+            yield held.slice(cut)
+
+
 def _packed(weights: np.ndarray, mean: float, length: int):
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    def one(shard: int, table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("doc_tokens", "ascending"), ("tail", "ascending")])
         tokens = table.column("doc_tokens").to_numpy()
         tails = [np.frombuffer(t.as_py(), "<u4") for t in table.column("tail")]
-        rows, sequence = [], key[0].as_py() << 32
+        rows, sequence = [], shard << 32
         for at, crcs in enumerate(table.column("whole")):
             for k, crc in enumerate(crcs.as_py()):
                 rows.append((at, k * length, length, crc, sequence, 0))
@@ -187,6 +235,12 @@ def _packed(weights: np.ndarray, mean: float, length: int):
         at, start, n, crc, seq, offset = (np.array(x, np.int64) for x in zip(*rows, strict=True))
         return pa.table({"doc_id": table.column("doc_id").take(pa.array(at)), "start": start, "length": n,
                          "ids_crc32": crc, "doc_tokens": tokens[at], "sequence_id": seq, "offset": offset})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split = TaskContext.get().partitionId()
+        for number, table in enumerate(shards(batches)):
+            yield from one(split << 17 | number, table).to_batches()
+    run.one = one
     return run
 
 
@@ -200,8 +254,7 @@ def pack(documents: DataFrame, vocabulary: str | None = None, length: int = LENG
     """
     vocabulary = vocabulary or default_vocabulary()
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    tails = durable(rows.mapInArrow(_tokenized(vocabulary, length),
-                                    "doc_id long, doc_tokens long, whole array<long>, tail binary, terms binary, tfs binary"), "tails")
+    tails = durable(rows.mapInArrow(_tokenized(vocabulary, length), TAILS), "tails")
     # At most one number per entry of the vocabulary reaches the driver.
     frequencies = tails.mapInArrow(_frequencies, "token long, df long").groupBy("token").agg(F.sum("df").alias("df"))
     found = frequencies.toArrow()
@@ -209,6 +262,9 @@ def pack(documents: DataFrame, vocabulary: str | None = None, length: int = LENG
     token, df = found.column("token").to_numpy(), found.column("df").to_numpy()
     weights = np.zeros(int(token.max()) + 1 if len(token) else 1)
     weights[token] = np.maximum(0, np.log((n - df + 0.5) / (df + 0.5)))
-    shard = F.pmod(F.xxhash64("doc_id", "tail", "whole"), F.lit(blocks_for(n, SHARD_TAILS))).cast("long")
-    return tails.withColumn("shard", shard).groupBy("shard").applyInArrow(
-        _packed(weights, max(float(mean or 1), 1.0), length), PIECES)
+    mean = max(float(mean or 1), 1.0)
+    placed = tails.mapInArrow(_placed(weights, mean), f"{TAILS}, place binary")
+    # What shares its place is dealt out by a hash, so a large group fills several ranges.
+    order = ["place", F.xxhash64("doc_id", "tail", "whole")]
+    ranges = placed.repartitionByRange(min(blocks_for(n, SHARD_TAILS), SPLITS), *order).sortWithinPartitions(*order)
+    return ranges.drop("place").mapInArrow(_packed(weights, mean, length), PIECES)

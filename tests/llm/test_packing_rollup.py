@@ -118,11 +118,22 @@ def test_statistics_are_of_whole_documents(make, monkeypatch):
     made = list(packing._tokenized(VOCABULARY, 16)([batch]))
     df = next(packing._frequencies(iter(made))).to_pydict()
     assert dict(zip(df["token"], df["df"], strict=True)) == counted
-    list(packing._packed(np.ones(60_000), 20.0, 16)((pa.scalar(0),), pa.Table.from_batches(made)).to_pylist())
+    packing._packed(np.ones(60_000), 20.0, 16).one(0, pa.Table.from_batches(made))
     assert seen[0][2] == [dict(Counter(r)) for r in rows]
     assert [len(t) for t in seen[0][3]] == [len(r) % 16 for r in rows]
 
 
+def test_like_documents_share_shards_at_any_size(make, monkeypatch):
+    """Documents of one topic meet in a shard although there are many shards."""
+    monkeypatch.setattr(packing, "SHARD_TAILS", 40)
+    rng = np.random.default_rng(8)
+    docs = [(k, " ".join(f"topic{k % 60}word{j}" for j in rng.integers(0, 12, 80))) for k in range(1200)]
+    where = {p.doc_id: p.sequence_id >> 32 for p in packing.pack(make(docs)).collect()}
+    assert len(set(where.values())) >= 20
+    shared = np.mean([where[k] == where[j] for k in range(60) for j in range(k + 60, 1200, 60)])
+    assert shared > 0.3           # about 1 in 30 if they were dealt out by a hash
+
+
 def totals(rollup, names):
     return {(r.source, r.lang): (r.documents, r.tokens, r.characters) for r in rollup.totals(names).collect()}
 
