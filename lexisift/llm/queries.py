@@ -13,6 +13,7 @@ from lexisift.llm.license_scan import scan_licenses
 from lexisift.llm.line_dedup import dedup_lines
 from lexisift.llm.near_dedup import near_duplicates
 from lexisift.llm.packing import pack
+from lexisift.llm.periodic_runs import periodic_runs
 from lexisift.llm.pii import scan_personal
 from lexisift.llm.secret_scan import scan_secrets
 from lexisift.llm.tables import table
@@ -84,8 +85,32 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _looped(documents: DataFrame) -> DataFrame:
+    """Texts whose id hashes to a multiple of ten repeat a block of their words from some word on."""
+    h, words = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    parts = documents.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"))
+    chosen = parts.where("h % 10 = 0 and text is not null").withColumn("w", words).withColumn("n", F.size("w").cast("long"))
+    placed = chosen.withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    text = F.expr("if(n > 0, array_join(transform(sequence(0, n - 1), i -> element_at(w, cast("
+                  "1 + if(i < a, i, a + (i - a) % p) as int))), ' '), text)")
+    rest = parts.where("coalesce(h % 10 <> 0 or text is null, true)")
+    return rest.select("doc_id", "text").unionByName(placed.select("doc_id", text.alias("text")))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs(_looped(table(spark, folder, "documents")))
+    # Greatest length first; ties by smallest start, then period.
+    best = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    listed = F.expr(r"array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period)), '\n') || if(size(runs) > 0, '\n', '')")
+    return found.withColumn("b", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("b.start")).alias("start"),
+        F.col("b.length").alias("length"), (-F.col("b.period")).alias("period"),
+        F.expr("1000 * b.length div -b.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_secret_scan, op3_line_dedup, op4_license_scan, op5_packing, op6_language_id,
-    op7_exact_top_k, op8_pii, op9_token_rollup, op10_decontamination)} | {"pipeline": corpus_pipeline.run}
+    op7_exact_top_k, op8_pii, op9_token_rollup, op10_decontamination, op12_periodic_runs)} | {"pipeline": corpus_pipeline.run}
 
 SQL = {"op1_minhash_near_dedup": sql.NEAR_DEDUP, "op7_exact_top_k": sql.TOP_K, "op10_decontamination": sql.CONTAMINATION}
