@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexisift.llm import sql
+from lexisift.llm.capture_index import archive_pages, look_up, read_captures
 from lexisift.llm.decontaminate import contamination
 from lexisift.llm.language import identify
 from lexisift.llm.license_scan import scan_licenses
@@ -14,12 +15,13 @@ from lexisift.llm.line_dedup import dedup_lines
 from lexisift.llm.near_dedup import near_duplicates
 from lexisift.llm.packing import pack
 from lexisift.llm.periodic_runs import periodic_runs
+from lexisift.llm.prefix_trie import prefix_nodes, sequences
 from lexisift.llm.pii import scan_personal
 from lexisift.llm.secret_scan import scan_secrets
 from lexisift.llm.tables import table
 from lexisift.llm.token_rollup import Rollup, changes
 from lexisift.llm.topk import exact_top_k
-from lexisift.session import shared_folder
+from lexisift.session import durable, shared_folder
 
 
 def op1_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,16 +87,24 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_capture_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, written to archives, looked up by URL and id, and read back by its range."""
+    pages = table(spark, folder, "pages")
+    index = archive_pages(pages, shared_folder(spark, "archives"))
+    return read_captures(index, look_up(index, pages), payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
 def _looped(documents: DataFrame) -> DataFrame:
     """Texts whose id hashes to a multiple of ten repeat a block of their words from some word on."""
-    h, words = F.crc32(F.col("doc_id").cast("string").cast("binary")), F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
-    parts = documents.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("long").alias("g"))
-    chosen = parts.where("h % 10 = 0 and text is not null").withColumn("w", words).withColumn("n", F.size("w").cast("long"))
-    placed = chosen.withColumn("a", F.expr("if(n > 0, g % n, 0)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.expr(r"regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0)")
+    chosen = documents.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    placed = (chosen.withColumn("n", F.size("w").cast("long")).withColumn("a", F.expr("if(n > 0, g % n, 0)"))
+              .withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)")))
     text = F.expr("if(n > 0, array_join(transform(sequence(0, n - 1), i -> element_at(w, cast("
                   "1 + if(i < a, i, a + (i - a) % p) as int))), ' '), text)")
-    rest = parts.where("coalesce(h % 10 <> 0 or text is null, true)")
-    return rest.select("doc_id", "text").unionByName(placed.select("doc_id", text.alias("text")))
+    return placed.select("doc_id", text.alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
@@ -109,8 +119,25 @@ def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def _forked(paths: DataFrame) -> DataFrame:
+    """Conversations whose first turns, none to three by a hash of the id, are those of a neighbour."""
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4).cast("int")
+    leads = paths.where("conv_id % 20 = 0").select(F.col("conv_id").alias("lead_id"), F.slice("turns", 1, 3).alias("lead"))
+    joined = paths.withColumn("lead_id", F.expr("conv_id - conv_id % 20")).join(leads, "lead_id", "left")
+    lead = F.coalesce("lead", F.slice("turns", 1, 0))
+    return joined.select("conv_id", F.concat(F.slice(lead, F.lit(1), h), F.slice(
+        "turns", h + 1, F.size("turns"))).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    paths = durable(sequences(table(spark, folder, "conversations")), "conversations")
+    return prefix_nodes(_forked(paths)).drop("node")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup, op2_secret_scan, op3_line_dedup, op4_license_scan, op5_packing, op6_language_id,
-    op7_exact_top_k, op8_pii, op9_token_rollup, op10_decontamination, op12_periodic_runs)} | {"pipeline": corpus_pipeline.run}
+    op7_exact_top_k, op8_pii, op9_token_rollup, op10_decontamination, op11_capture_index,
+    op12_periodic_runs, op13_prefix_trie)} | {"pipeline": corpus_pipeline.run}
 
-SQL = {"op1_minhash_near_dedup": sql.NEAR_DEDUP, "op7_exact_top_k": sql.TOP_K, "op10_decontamination": sql.CONTAMINATION}
+SQL = {"op1_minhash_near_dedup": sql.NEAR_DEDUP, "op7_exact_top_k": sql.TOP_K, "op10_decontamination": sql.CONTAMINATION,
+       "op11_capture_index": sql.CAPTURES, "op13_prefix_trie": sql.PREFIX_TRIE}

@@ -63,3 +63,48 @@ SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+# CRC-32 of ASCII text, bit by bit; ``{0}`` is the text.
+CRC32 = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::UBIGINT)),
+  lambda r, b: list_reduce(list_prepend(xor(r, b), [0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[]),
+    lambda v, z: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT)"""
+
+PREFIX_TRIE = r"""
+WITH k AS (
+  SELECT conv_id, turn, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))[:32] AS key,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM k),
+c AS (SELECT conv_id, CRC % 4 AS h FROM (SELECT DISTINCT conv_id FROM k)),
+r AS (
+  SELECT c.conv_id, 0 AS part, pos, key, words FROM c JOIN p ON p.conv_id = c.conv_id - c.conv_id % 20 AND pos <= h
+  UNION ALL
+  SELECT conv_id, 1, pos, key, words FROM c JOIN p USING (conv_id) WHERE pos > h),
+f AS (
+  SELECT conv_id, row_number() OVER o AS depth, string_agg(key, '') OVER o AS path, words
+  FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY part, pos)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM c),
+n AS (
+  SELECT path, any_value(depth) AS depth, path[:length(path) - 32] AS parent, min(conv_id) AS conv_id,
+         count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved FROM f GROUP BY path),
+kids AS (SELECT parent AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY parent),
+x AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (path)),
+t AS (
+  SELECT path, sum(leaf)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT path[:32 * unnest(range(0, depth + 1))] AS path, (n_children = 0)::INTEGER AS leaf, saved FROM x) GROUP BY path),
+e AS (
+  SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM (SELECT conv_id, arg_max(path, depth) AS path FROM f GROUP BY conv_id) GROUP BY path)
+SELECT x.conv_id, x.depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children, t.n_leaves, t.saved_tokens,
+       sha256(coalesce(ids, '')) AS ends_sha256
+FROM x JOIN t USING (path) LEFT JOIN n u ON x.depth > 0 AND u.path = x.parent LEFT JOIN e ON e.path = x.path
+""".replace("CRC", CRC32.format("conv_id::VARCHAR"))
+
+CAPTURES = r"""
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p),
+t AS (SELECT *, payload_bytes >= 100 AND page_id IS DISTINCT FROM first AS again FROM f)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to, replace(url, ' ', '%20') AS url FROM t
+"""
