@@ -30,12 +30,14 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN
 
 TOP_K = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT vec_id, embedding, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+  FROM (SELECT DISTINCT vec_id, v FROM v JOIN (SELECT vec_id, min(embedding) AS embedding FROM v GROUP BY vec_id) USING (vec_id, embedding)
+        WHERE vec_id % 100 = 0) q
+  JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10
 """

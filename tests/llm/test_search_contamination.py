@@ -29,7 +29,6 @@ def test_top_k_equals_brute_force(spark, monkeypatch, blocks):
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<float>, score int")
     queries = {i for i, _ in rows if i is not None and i % 100 == 0}
     found = topk.exact_top_k(df, df.where("vec_id % 100 = 0"), 10)
-    rows = [(i, [min(x, 2.0**21) for x in v] if v and v[0] == 3e9 else v) for i, v in rows]
     rows = [(i, [float(np.float32(x)) if x is not None else None for x in v] if v is not None else None) for i, v in rows]
     got = sorted(map(tuple, found.collect()))
     assert [r for r in got if r[0] not in (900,)] == [r for r in brute_top(rows, queries, 10) if r[0] != 900]
@@ -37,6 +36,35 @@ def test_top_k_equals_brute_force(spark, monkeypatch, blocks):
     assert topk.exact_top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("candidates", [16_384, 7])
+def test_components_of_any_size(spark, monkeypatch, candidates):
+    """Scores are exact, rank by their value beyond 64 bits as well, and are null there."""
+    monkeypatch.setattr(topk, "CANDIDATES", candidates)
+    rng = np.random.default_rng(5)
+    rows = [(100, [3e6, 1.0]), (1, [2.5e6, 2.0]), (200, [2.0**31, 2.0**31, 2.0**31, 2.0**31]), (2, [2.0**31] * 4),
+            (300, [1e300, -1e300, 0.5]), (3, [1e300, 1.0, 1.0]), (4, [-1e300, 1.0, 1.0]), (5, [1e299, 1.0, 0.0])]
+    rows += [(10 + k, rng.normal(0, 10.0 ** rng.integers(-1, 14), 4).tolist()) for k in range(60)]
+    rows += [(400 + 100 * k, rng.normal(0, 10.0 ** (4 * k), 4).tolist()) for k in range(4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in topk.exact_top_k(df, df.where("vec_id % 100 = 0"), 10).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
+    assert sorted(got[100]) == [(1, 1, 7864320000002097152)]
+    want = {}
+    for q, rank, vec_id, score in brute_top(rows, {i for i, _ in rows if i % 100 == 0}, 10):
+        want.setdefault(q, []).append((rank, vec_id, score if -2**63 <= score < 2**63 else None))
+    assert {q: sorted(v) for q, v in got.items()} == want
+    assert any(score is None for v in want.values() for _, _, score in v)
+
+
+def test_repeated_query_rows(spark):
+    rows = [(100, [2.0, 0.0]), (100, [1.0, 5.0]), (100, [1.0, 5.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "vec_id long, embedding array<double>").repartition(3)
+        found = topk.exact_top_k(df, df.where("vec_id = 100"), 10)
+        assert sorted(map(tuple, found.collect())) == [(100, 1, 2, 5 * 1024**2), (100, 2, 1, 1024**2)]
+
+
 def test_dropping_candidates_changes_nothing():
     rng = np.random.default_rng(3)
     vectors = (rng.normal(0, 1, (3000, 64)) * np.geomspace(500, 1, 64)).astype(np.int64)
@@ -46,6 +74,8 @@ def test_dropping_candidates_changes_nothing():
         scores = vectors @ vectors[q]
         best = [i for i in np.lexsort((ids, -scores)) if i != q][:10]
         assert [(i, s) for p, i, s in found if p == q] == [(i, scores[i]) for i in best]
+    floors = np.array([float(found[9][2]), np.nan])          # of the tenth; a floor drops no tie with it
+    assert list(topk.block_top([5, 9], vectors[[5, 9]], ids, vectors, 10, floors)) == found
 
 
 def words_of(text):
