@@ -2,9 +2,10 @@
 
 Every tree sends a document to the node named by one of its minwise shingles. Nodes that
 hold unlinked documents and are still large branch again on further minwise shingles,
-chosen by the node; small ones are compared exhaustively. Independent trees bring the
-recall of a pair at the threshold to more than 0.9998. All links are confirmed on
-the full shingle sets.
+chosen by the node; small ones are compared exhaustively. There are as many independent trees
+as it takes for a pair at the threshold to miss all leaves with a probability below
+``MISSED``, its nodes being as deep as they get. All links are confirmed on the full
+shingle sets.
 
 Only what can change a component is compared. A first round tries to link each document
 to a few pivots, those of its nodes' pivots that look most alike. Nodes whose documents are
@@ -15,6 +16,7 @@ two components is left out on purpose.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -30,20 +32,35 @@ from lexisift.session import durable
 
 COORDINATES = 256  # minwise values per document; four bits of each form its sketch
 LONGS = COORDINATES // 16
-BRANCHED = 64      # of them, those that nodes branch on
-TREES = 12         # a pair at similarity 0.8 shares no first node with probability 0.2 ** 12
+BRANCHED = 64      # of them, those that nodes branch on (at least one for each tree)
+MISSED = 0.001     # a pair at the threshold shares no leaf with a probability below this
+LOWEST = 50        # percent; below, trees would become too many
 DEPTH = 5          # levels of branching; what is still large then is compared all the same
 SMALL = 128        # documents in a node that are compared without branching further
 PIVOTS = 4         # pivots of a first node
 VOTES = 3          # first nodes shared with a pivot before it is looked at
 TRIED = 3          # pivots that a document is compared with in full
-MISSES = 73        # differing sketch values of 256 beyond which a pair is not tried (4 sd at 0.8)
 SALTED = 1_000     # documents that meet one copy of a pivot's set
 BLOCK = 128        # documents of a node that are compared in one block with as many others
 NEEDED_MAPS = 1_024  # bitmaps of 32,768 bits that tell which texts a join needs: 4 MB
 _BATCH = 400_000   # shingles hashed at a time
 
 
+def trees_for(percent: int) -> int:
+    """Trees for a pair whose sets are ``percent`` similar: 12 for 80."""
+    alike, reached = percent / 100, 1.0
+    for _ in range(DEPTH - 1):      # a node has one child, or two with a probability of a quarter
+        reached = 0.75 * alike * reached + 0.25 * (1 - (1 - alike * reached) ** 2)
+    miss = 1 - alike * reached
+    return 1 if miss <= MISSED else math.ceil(math.log(MISSED) / math.log(miss))
+
+
+def misses_for(percent: int) -> int:
+    """Differing sketch values beyond which a pair is not tried: four standard deviations above the mean."""
+    differ = (1 - percent / 100) * 15 / 16
+    return math.ceil(COORDINATES * differ + 4 * math.sqrt(COORDINATES * differ * (1 - differ)))
+
+
 def _sketch(values: np.ndarray) -> np.ndarray:
     """Four bits of each minwise value, sixteen to a long."""
     nibbles = (values >> np.uint64(7)) & np.uint64(15)
@@ -52,18 +69,18 @@ def _sketch(values: np.ndarray) -> np.ndarray:
                      for k in range(LONGS)], axis=1).view(np.int64)
 
 
-def _signatures(shingle: int):
-    def rows(ids: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+def _signatures(shingle: int, branched: int):
+    def rows(ids: dict[str, pa.Array], sets: list[np.ndarray]) -> pa.RecordBatch:
         full = [i for i, s in enumerate(sets) if len(s)]
         prints, tokens, sketches = [None] * len(sets), [None] * len(sets), np.zeros((len(sets), LONGS), np.int64)
         if full:
             values = minwise([sets[i] for i in full], COORDINATES)
-            short = ((values[:, :BRANCHED] >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+            short = ((values[:, :branched] >> np.uint64(16)) & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
             sketches[full] = _sketch(values)
             for row, i in enumerate(full):
                 prints[i], tokens[i] = fingerprint(sets[i]), short[row]
         return pa.RecordBatch.from_pydict({
-            "doc_id": ids, "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            **ids, "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "print": pa.array(prints, pa.binary()), "tokens": pa.array(tokens, pa.list_(pa.int32())),
             **{f"s{k}": pa.array(sketches[:, k], pa.int64()) for k in range(LONGS)}})
 
@@ -74,7 +91,7 @@ def _signatures(shingle: int):
                 sets.append(shingle_set(text.as_py(), shingle))
                 held += len(sets[-1])
                 if held > _BATCH or at + 1 == batch.num_rows:
-                    yield rows(batch.column("doc_id").slice(start, len(sets)), sets)
+                    yield rows({c: batch.column(c).slice(start, len(sets)) for c in ("doc_id", "version")}, sets)
                     start, sets, held = at + 1, [], 0
     return run
 
@@ -253,22 +270,56 @@ def _leaves(nodes: DataFrame, signatures: DataFrame) -> DataFrame | None:
     return found
 
 
+def _identified(texts: DataFrame, made: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """``(print, doc, first)`` with a number and the smallest ``doc_id`` of each distinct set, the
+    texts by that number, and links between the sets that share a ``doc_id``.
+
+    The number is that ``doc_id``. Where rows repeat a ``doc_id`` with
+    other words, one of its sets keeps it and the others get numbers above all ids.
+    """
+    named = made.where("print is not null and doc_id is not null").select("doc_id", "print", "version")
+    copies = durable(named.groupBy("print").agg(F.min("doc_id").alias("doc")), "copies")
+    several = durable(named.groupBy("doc_id").agg(F.min("print").alias("a"), F.max("print").alias("b"))
+                      .where("a <> b").select(F.col("doc_id").alias("again")), "several")
+    if several.isEmpty():
+        return copies.withColumn("first", F.col("doc")), texts, None
+    shared = copies.join(several, F.col("doc") == F.col("again"), "left_semi")
+    keeping = shared.groupBy("doc").agg(F.min("print").alias("print"))
+    highest = copies.agg(F.max("doc")).first()[0]
+    extra = durable(shared.join(keeping, "print", "left_anti").select(
+        "print", (F.lit(highest) + 1 + F.monotonically_increasing_id()).alias("other")), "numbered")
+    numbered = durable(copies.join(extra, "print", "left").select(
+        "print", F.coalesce("other", "doc").alias("doc"), F.col("doc").alias("first")), "copies")
+    spelled = durable(named.join(several, F.col("doc_id") == F.col("again")).drop("again").distinct()
+                      .join(numbered, "print"), "spelled")
+    own = spelled.where("doc_id = first").select(F.col("doc_id").alias("again"), "version", "doc")
+    renamed = texts.join(own, (F.col("doc_id") == F.col("again")) & (F.xxhash64("text") == F.col("version"))).select(
+        F.col("doc").alias("doc_id"), "text")
+    rest = texts.join(several, F.col("doc_id") == F.col("again"), "left_anti")
+    return numbered, rest.unionByName(renamed), spelled.select(F.col("doc").alias("a"), F.col("doc_id").alias("b"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``.
 
-    Documents are linked when 100 * common shingles >= ``percent`` * all shingles of both.
-    ``component_id`` is the smallest ``doc_id`` that links lead to; ``kept`` says that it is
-    the document's own. Null and empty texts have no shingles and link with nothing. Rows
-    without ``doc_id`` link with nothing, have no component and are kept. Rows that repeat a
-    ``doc_id`` share its component. Other columns are ignored.
+    Documents are linked when 100 * common shingles >= ``percent`` * all shingles of both;
+    ``percent`` is from 50 to 100. ``component_id`` is the smallest ``doc_id`` that links lead
+    to; ``kept`` says that it is the document's own. Null and empty texts have no shingles and
+    link with nothing. Rows without ``doc_id`` link with nothing, have no component and are kept.
+    Rows with words that repeat a ``doc_id``, whatever their texts, share a component. Other
+    columns are ignored.
     """
+    if not LOWEST <= percent <= 100:
+        raise ValueError(f"percent must be from {LOWEST} to 100")
+    trees, most = trees_for(percent), misses_for(percent)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    made = durable(texts.mapInArrow(
-        _signatures(shingle), "doc_id long, n_shingles long, print binary, tokens array<int>, " + ", ".join(f"{c} long" for c in _SKETCH)), "signatures")
-    copies = made.where("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("doc"))
-    signatures = durable(copies.join(made, (copies["print"] == made["print"]) & (copies["doc"] == made["doc_id"]))
+    made = durable(texts.withColumn("version", F.xxhash64("text")).mapInArrow(
+        _signatures(shingle, max(BRANCHED, trees)), "doc_id long, version long, n_shingles long, print binary, tokens array<int>, "
+        + ", ".join(f"{c} long" for c in _SKETCH)), "signatures")
+    copies, texts, repeats = _identified(texts, made)
+    signatures = durable(copies.join(made, (copies["print"] == made["print"]) & (copies["first"] == made["doc_id"]))
                          .select("doc", "tokens", *_SKETCH), "distinct").dropDuplicates(["doc"])
-    first = F.array(*[F.xxhash64(F.lit(t), F.element_at("tokens", t + 1)) for t in range(TREES)])
+    first = F.array(*[F.xxhash64(F.lit(t), F.element_at("tokens", t + 1)) for t in range(trees)])
     nodes = signatures.select(F.explode(first).alias("node"), "doc")
     pivots = F.array_distinct(F.array(*[F.min_by("doc", F.xxhash64("doc", F.lit(k))) for k in range(PIVOTS)]))
     shared = nodes.groupBy("node").agg(F.count("*").alias("n"), pivots.alias("pivots")).where("n > 1")
@@ -277,11 +328,12 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
              .groupBy("doc", "pivot").agg(F.count("*").alias("votes")).where(F.col("votes") >= VOTES))
     looks = (voted.join(signatures.drop("tokens").alias("a"), "doc")
              .join(signatures.drop("tokens").withColumnRenamed("doc", "pivot").alias("b"), "pivot")
-             .select("doc", "pivot", _misses("a", "b").alias("misses")).where(F.col("misses") <= MISSES))
+             .select("doc", "pivot", _misses("a", "b").alias("misses")).where(F.col("misses") <= most))
     closest = Window.partitionBy("doc").orderBy("misses", "pivot")
     tried = looks.withColumn("rank", F.row_number().over(closest)).where(F.col("rank") <= TRIED)
     links = _confirmed(texts, durable(tried.select(F.col("doc").alias("a"), F.col("pivot").alias("b")), "pairs"),
                        shingle, percent)
+    links = links if repeats is None else links.unionByName(repeats)
     groups = durable(connected_components(links), "groups")
     owned = nodes.drop("pivots").join(groups.withColumnRenamed("id", "doc"), "doc", "left").select(
         "node", "doc", F.coalesce("component", "doc").alias("component"))
@@ -293,9 +345,9 @@ def near_duplicates(documents: DataFrame, shingle: int = 5, percent: int = 80) -
     # share several leaves are compared in the first of them only.
     first = F.array_min(F.array_intersect("a.homes", "b.homes")) == F.col("a.node")
     alike = durable(a.join(b, (F.col("a.node") == F.col("b.node")) & (F.col("a.component") != F.col("b.component"))
-                           & (_misses("a", "b") <= MISSES) & first, "left_semi").select("node", "doc", "component"), "leaves")
+                           & (_misses("a", "b") <= most) & first, "left_semi").select("node", "doc", "component"), "leaves")
     merged = durable(connected_components(_compared(texts, alike, shingle, percent)), "groups")
-    copied = made.select("doc_id", "n_shingles", "print").join(copies, "print", "left")
+    copied = made.select("doc_id", "n_shingles", "print").join(copies.drop("first"), "print", "left")
     label = (copied.join(groups.withColumnRenamed("id", "doc"), "doc", "left")
              .withColumn("group", F.coalesce("component", "doc", "doc_id")).drop("component")
              .join(merged.withColumnRenamed("id", "group"), "group", "left")

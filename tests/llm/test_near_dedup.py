@@ -2,6 +2,7 @@ import random
 from itertools import combinations
 
 import numpy as np
+import pytest
 
 from lexisift.llm import near_dedup
 from lexisift.llm.components import connected_components
@@ -75,6 +76,35 @@ def test_odd_rows(make):
     assert near_dedup.near_duplicates(make([])).count() == 0
 
 
+def test_repeated_ids_with_other_texts(make):
+    """All texts of an id belong to one component, and each links by its own words."""
+    rng = random.Random(11)
+    a, b, c, d = (" ".join(f"{x}{rng.randrange(1000)}" for _ in range(40)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, a + " word"), (3, b + " word"), (4, c), (5, c + " word"), (6, d), (7, d), (7, c), (9, "x"), (9, "")]
+    found = near_dedup.near_duplicates(make(rows), 4)
+    assert sorted({(r.doc_id, r.component_id) for r in found.collect()}) == [
+        (1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4), (7, 4), (9, 9)]
+    assert found.count() == len(rows)
+
+
+@pytest.mark.parametrize("percent", [50, 65, 95, 100])
+def test_other_similarities(make, percent):
+    rng = random.Random(percent)
+    rows = corpus()
+    for _ in range(40):                  # pairs just above and below
+        words = [f"p{rng.randrange(10**6)}" for _ in range(103)]
+        cut = int(100 * 2 * percent / (100 + percent)) + rng.randrange(-2, 4)
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:cut] + [f"q{rng.randrange(10**6)}" for _ in range(103 - cut)]))]
+    assert result(near_dedup.near_duplicates(make(rows), 4, percent)) == brute_force(rows, 4, percent)
+
+
+def test_trees_and_misses_follow_the_similarity(make):
+    assert (near_dedup.trees_for(80), near_dedup.misses_for(80)) == (12, 73)
+    assert near_dedup.trees_for(50) > 100 and near_dedup.trees_for(100) == 1 and near_dedup.misses_for(100) == 0
+    with pytest.raises(ValueError):
+        near_dedup.near_duplicates(make([(1, "a")]), 4, 49)
+
+
 def test_words_are_ascii_lowered_and_split_at_ascii_space():
     assert len(shingle_set("A b c\x0bd", 4)) == 1
     assert np.array_equal(shingle_set("É x", 4), shingle_set("É X", 4))
