@@ -31,13 +31,30 @@ def test_ids_equal_the_tokenizer(parts):
     assert ENCODER.encode(text).tolist() == ids_of(text)
 
 
+PARTS = [" ", " ", " ", "  ", "\n", "\t", " ", "word", "don't", "'s", "é", "12", "...", "<|endoftext|>", "\x1c", "日本", "A", "-", "\r\n",
+         "\u2003", "😀"]
+
+
+@settings(max_examples=700, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.sampled_from(PARTS), max_size=12).map("".join)), max_size=6), st.sampled_from([1, 20, 10**6]))
+def test_ids_of_many_texts_equal_the_tokenizer(texts, chunk):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("lexisift.llm.bpe.CHUNK", chunk)
+        found = []
+        for ids, ends in ENCODER.encode_many(pa.array(texts, pa.string())):
+            found += [part.tolist() for part in np.split(ids, ends[:-1])]
+            assert ends[-1] == len(ids)
+    assert found == [ids_of(t or "") for t in texts]
+
+
 def test_memory_of_pieces_is_bounded(monkeypatch):
     monkeypatch.setattr("lexisift.llm.bpe.REMEMBERED", 20)
     small = PieceEncoder(VOCABULARY)
     for k in range(30):
         text = " ".join(f"w{k * 7 + j}" for j in range(15))
         assert small.encode(text).tolist() == ids_of(text)
-        assert len(small.known) <= 20 + 15         # and those of one text
+        assert next(small.encode_many(pa.array([text])))[0].tolist() == ids_of(text)
+        assert len(small.known) <= 20 + 17         # and those of one text
     text = " ".join(f"v{j}" for j in range(50))       # more pieces than are remembered
     assert small.encode(text).tolist() == ids_of(text)
 
@@ -101,6 +118,21 @@ def test_neighbours_share_words():
     assert alike >= 0.5
 
 
+def test_places_are_the_winners_of_the_races():
+    rng = np.random.default_rng(12)
+    weights = np.maximum(0, rng.normal(1, 1, 300))
+    described = [np.unique(rng.integers(0, 300, n), return_counts=True) for n in (50, 1, 200, 7)]
+    described += [(np.zeros(0, np.int64), np.zeros(0, np.int64)), (np.flatnonzero(weights == 0)[:3], np.ones(3, np.int64))]
+    race = packing.races(weights)
+    got = packing.places(described, race, 60.0)
+    for (terms, tf), place in zip(described, got, strict=True):
+        won = np.frombuffer(place, ">u4").astype(int)
+        for k in range(packing.HASHES):
+            values = {t: race[k][t] / (n * 2.2 / (n + 1.2 * (0.25 + 0.75 * tf.sum() / 60.0))) for t, n in zip(terms, tf)}
+            best = min(values, key=values.get, default=None)
+            assert won[k] == (best + 1 if best is not None and np.isfinite(values[best]) else 0)
+
+
 def test_statistics_are_of_whole_documents(make, monkeypatch):
     """Frequencies, mean length and terms include what stands in full windows."""
     docs = [(1, "alpha " * 40 + "omega"), (2, "beta " * 30), (3, "alpha beta"), (4, None)]
