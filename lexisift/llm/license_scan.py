@@ -157,8 +157,8 @@ def _tightest(at: list[int], pairs: list[int], low: int, high: int, reach: int)
     return best[0], -best[2], best[3]
 
 
-def _passages(at: np.ndarray, pairs: np.ndarray, need: float, reach: int) -> Iterator[tuple[int, int]]:
-    """First and last hit of the passages that hold ``need`` different pairs within ``reach``."""
+def _passages(at: np.ndarray, pairs: np.ndarray, need: float, reach: int) -> Iterator[tuple[int, int, int]]:
+    """First and last hit, and number of different pairs, of the passages that hold ``need`` of them within ``reach``."""
     if len(at) < need:
         return
     at, pairs = at.tolist(), pairs.tolist()
@@ -169,8 +169,8 @@ def _passages(at: np.ndarray, pairs: np.ndarray, need: float, reach: int) -> Ite
             end += 1
         step = start + 1
         if len(inside) >= need:
-            _, first, last = _tightest(at, pairs, start, end - 1, reach)
-            yield first, last
+            held, first, last = _tightest(at, pairs, start, end - 1, reach)
+            yield first, last, held
             step = last + 1
         for k in range(start, min(step, end)):
             inside[pairs[k]] -= 1
@@ -181,8 +181,8 @@ def _passages(at: np.ndarray, pairs: np.ndarray, need: float, reach: int) -> Ite
             end = start
 
 
-def candidates(hashes: np.ndarray, parts: np.ndarray, wanted: str | None = None) -> list[tuple[str, int, int]]:
-    """``(family, first word, last word)`` of all passages that hold enough of a template, of one family if wanted."""
+def candidates(hashes: np.ndarray, parts: np.ndarray, wanted: str | None = None) -> list[tuple[str, int, int, float]]:
+    """``(family, first word, last word, share of it)`` of all passages that hold enough of a template, of one family if wanted."""
     if len(hashes) < 2:
         return []
     pairs = _pairs(hashes)
@@ -200,7 +200,7 @@ def candidates(hashes: np.ndarray, parts: np.ndarray, wanted: str | None = None)
         mine, which = at[own], place[own]
         # Paragraphs are moved apart, so that no stretch reaches over their border.
         apart = mine + parts[mine] * (reach + 1)
-        out += [(family, int(mine[a]), int(mine[b]) + 1) for a, b in _passages(apart, which, need, reach)]
+        out += [(family, int(mine[a]), int(mine[b]) + 1, n / int(held.sum())) for a, b, n in _passages(apart, which, need, reach)]
     return out
 
 
@@ -241,10 +241,9 @@ class Classifier:
         value = np.exp(logits - logits.max())
         return value / value.sum()
 
-    def best(self, words: list[bytes], among: set[str] | None = None) -> str:
-        """The most likely family, ``unknown`` included, or the most likely of some."""
-        chances = zip(self.probabilities(words), self.families)
-        return max((c, f) for c, f in chances if among is None or f in among)[1]
+    def best(self, words: list[bytes]) -> str:
+        """The most likely family, ``unknown`` included."""
+        return self.families[int(self.probabilities(words).argmax())]
 
     def windows(self, hashes: np.ndarray, parts: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """``(family, first word, end)`` of the windows that count, of all windows of all paragraphs."""
@@ -328,21 +327,19 @@ def license_spans(text: str, classifier: Classifier) -> list[tuple[str, int, int
         margin = SIZES[-1][0]
         begin = max(low - margin, int(np.searchsorted(parts, parts[low])))
         end = min(high + margin, int(np.searchsorted(parts, parts[low], "right")))
-        for _, first, last in candidates(hashes[begin:end], parts[begin:end], family):
+        for _, first, last, share in candidates(hashes[begin:end], parts[begin:end], family):
             first, last = first + begin, last + begin
             # The notice itself, without what stands around it, has to be of the family too.
             if first < high and last >= low and classifier.best(words[first:last + 1]) == family:
-                spans.add((family, first, last))
+                spans.add((-share, first - last, first, last, family))
     out: list[list] = []
-    for first, last, family in sorted((a, b, f) for f, a, b in spans):
-        # Templates that share words are one notice, of the family that all its words speak for.
-        if out and first <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], last)
-            out[-1][2].add(family)
-        else:
-            out.append([first, last, {family}])
-    named = [(classifier.best(words[a:b + 1], families), int(lines[a]), b - a + 1) for a, b, families in out]
-    return sorted(named, key=lambda x: (x[1], x[0], x[2]))
+    # Words belong to the family that they hold most of; what shares words within it is one notice.
+    for _, _, first, last, family in sorted(spans):
+        shared = [x for x in out if first <= x[1] and last >= x[0]]
+        if all(x[2] == family for x in shared):
+            out = [x for x in out if x not in shared]
+            out.append([min([first, *(x[0] for x in shared)]), max([last, *(x[1] for x in shared)]), family])
+    return sorted(((family, int(lines[a]), b - a + 1) for a, b, family in out), key=lambda x: (x[1], x[0], x[2]))
 
 
 def _scan(classifier: Classifier):
