@@ -22,6 +22,8 @@ TOP_K = 75
 MIN_TERM_LENGTH = 2
 VOCABULARY_SIZE = 50_000
 MIN_DOCUMENT_FREQUENCY = 2
+DEFAULT_VOCABULARY_SIZE = 1 << 18
+DEFAULT_DOCUMENT_FREQUENCY = 1
 SELECTED_FEATURES = 2_000
 SELECTED_FEATURES_HEAVY = 500
 SVM_MAX_ITER = 50

@@ -7,17 +7,15 @@ from collections.abc import Sequence
 from pyspark.ml import Estimator, Model, Pipeline
 from pyspark.ml.classification import LinearSVC, OneVsRest
 from pyspark.ml.feature import IndexToString, Normalizer
-from pyspark.ml.tuning import (CrossValidator, CrossValidatorModel, ParamGridBuilder,
-                               TrainValidationSplit, TrainValidationSplitModel)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
 from lexisift.operators.evaluate import evaluator
 from lexisift.operators.features import FeatureSpec, feature_stages
-
-# Fixed value: models fitted at the same time.
-PARALLEL_FITS = 4
-
+from lexisift.operators.scoring import predicted
+from lexisift.operators.search import SearchResult, search, side_by_side
 
 # The other grids, for ``svm_grid(svm, **GRIDS[name])``.
 GRIDS = {
@@ -69,45 +67,41 @@ def svm_grid(svm: LinearSVC, reg_param: Sequence[float] = K.GRID_REG_PARAM,
 
 
 def cross_validate(estimator: Estimator, grid: list, train: DataFrame, folds: int = 3,
-                   label: str = "label", metric: str = "f1", fold_column: str = "",
-                   parallelism: int = PARALLEL_FITS, seed: int = 42) -> CrossValidatorModel:
-    """K-fold search. ``fold_column`` fixes the folds whatever the partitioning."""
-    return CrossValidator(estimator=estimator, estimatorParamMaps=grid,
-                          evaluator=evaluator(label, metric=metric), numFolds=folds,
-                          parallelism=parallelism, seed=seed, foldCol=fold_column).fit(train)
+                   label: str = "label", metric: str = "f1", fold_column: str = "fold",
+                   parallelism: int | None = None) -> SearchResult:
+    """K-fold search over the folds 0 to ``folds - 1`` of ``fold_column``, such as ``assign_folds`` gives.
+
+    What the points have in common is fitted once per fold, see ``search``.
+    """
+    parts = [F.col(fold_column) == i for i in range(folds)]
+    return search(estimator, grid, train, parts, label, metric, parallelism, predicted)
 
 
-def validate(estimator: Estimator, grid: list, train: DataFrame, train_ratio: float = 0.8,
-             label: str = "label", metric: str = "f1", parallelism: int = PARALLEL_FITS,
-             seed: int = 42) -> TrainValidationSplitModel:
-    """Search with one held-out part."""
-    return TrainValidationSplit(estimator=estimator, estimatorParamMaps=grid,
-                                evaluator=evaluator(label, metric=metric),
-                                trainRatio=train_ratio, parallelism=parallelism,
-                                seed=seed).fit(train)
+def validate(estimator: Estimator, grid: list, train: DataFrame, held_out: Column,
+             label: str = "label", metric: str = "f1", parallelism: int | None = None) -> SearchResult:
+    """Search with one held-out part, the rows for which the condition holds.
 
+    A condition on a column, such as a split by hash, gives the same parts under every partitioning.
+    """
+    return search(estimator, grid, train, [held_out], label, metric, parallelism, predicted)
 
-def grid_metrics(tuned: CrossValidatorModel | TrainValidationSplitModel) -> list[float]:
-    return list(tuned.avgMetrics if isinstance(tuned, CrossValidatorModel)
-                else tuned.validationMetrics)
 
+def grid_metrics(tuned: SearchResult) -> list[float]:
+    return tuned.avgMetrics
 
-def grid_report(spark: SparkSession,
-                tuned: CrossValidatorModel | TrainValidationSplitModel) -> DataFrame:
+
+def grid_report(spark: SparkSession, tuned: SearchResult) -> DataFrame:
     """One row per grid point: its parameters, its metric and whether it won."""
-    metrics = grid_metrics(tuned)
-    best = max(range(len(metrics)), key=metrics.__getitem__)
     rows = []
-    for i, (point, metric) in enumerate(zip(tuned.getEstimatorParamMaps(), metrics)):
+    for i, (point, metric) in enumerate(zip(tuned.points, tuned.avgMetrics)):
         values = {param.name: value for param, value in point.items()}
         rows.append((i, values.get("regParam"), values.get("standardization"),
-                     values.get("maxIter"), values.get("numTopFeatures"), float(metric), i == best))
+                     values.get("maxIter"), values.get("numTopFeatures"), float(metric), i == tuned.best))
     return spark.createDataFrame(rows, "point int, reg_param double, standardization boolean, "
                                        "max_iter int, num_features int, metric double, best boolean")
 
 
-def best_parameters(spark: SparkSession,
-                    tuned: CrossValidatorModel | TrainValidationSplitModel) -> DataFrame:
+def best_parameters(spark: SparkSession, tuned: SearchResult) -> DataFrame:
     return grid_report(spark, tuned).filter("best").drop("best")
 
 
@@ -120,10 +114,12 @@ def with_predicted_category(predictions: DataFrame, labels: Sequence[str],
 def compare_models(test: DataFrame, models: dict[str, Model], label: str = "label",
                    metrics: Sequence[str] = ("f1", "accuracy")) -> DataFrame:
     """One ``(model, metric, value)`` row per model and metric on the same test rows."""
-    rows = []
-    for name, model in models.items():
-        predictions = model.transform(test).select(label, "prediction").persist()
-        for metric in metrics:
-            rows.append((name, metric, evaluator(label, metric=metric).evaluate(predictions)))
+    def measured(name: str) -> list[tuple]:
+        predictions = predicted(models[name], test).select(label, "prediction").persist()
+        rows = [(name, metric, evaluator(label, metric=metric).evaluate(predictions)) for metric in metrics]
         predictions.unpersist()
-    return test.sparkSession.createDataFrame(rows, "model string, metric string, value double")
+        return rows
+
+    spark = test.sparkSession
+    found = side_by_side(spark, [lambda name=name: measured(name) for name in models])
+    return spark.createDataFrame([row for rows in found for row in rows], "model string, metric string, value double")

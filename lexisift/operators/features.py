@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import (IDF, ChiSqSelector, ChiSqSelectorModel, CountVectorizer,
-                                CountVectorizerModel, Normalizer, RegexTokenizer,
-                                StopWordsRemover, StringIndexer, Tokenizer)
+from pyspark.ml.feature import (IDF, CountVectorizerModel, Normalizer, RegexTokenizer, StopWordsRemover,
+                                StringIndexer, Tokenizer)
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
-from lexisift.operators.tokens import term_frequencies
+from lexisift.operators.selection import (ContingencySelector, ContingencySelectorModel, contingency_statistics,
+                                          vector_entries, with_log_p)
+from lexisift.operators.vectorize import RankedVectorizer
+from lexisift.operators.vocabulary import document_frequencies, most_frequent, vocabulary_table  # noqa: F401
 from lexisift.session import durable
 
 
@@ -23,14 +26,14 @@ class FeatureSpec:
 
     ``tokenizer``: ``ml_regex`` (all whitespace), ``ml_regex_literal`` (blank and tab
     only) or ``whitespace``. ``normalize``: L2 ``after`` selection, ``before`` it or
-    ``none``. ``stop_words`` None means Spark's English list.
+    ``none``. ``stop_words`` None means Spark's English list, ``selected`` None no selection.
     """
 
     tokenizer: str = "ml_regex"
     stop_words: tuple[str, ...] | None = None
     vocabulary_size: int = K.VOCABULARY_SIZE
     min_df: float = K.MIN_DOCUMENT_FREQUENCY
-    selected: int = K.SELECTED_FEATURES
+    selected: int | None = K.SELECTED_FEATURES
     normalize: str = "after"
 
 
@@ -47,24 +50,28 @@ def stop_word_stage(spec: FeatureSpec) -> StopWordsRemover:
     return remover if spec.stop_words is None else remover.setStopWords(list(spec.stop_words))
 
 
-def count_stages(spec: FeatureSpec) -> list:
-    return [tokenizer_stage(spec), stop_word_stage(spec),
-            CountVectorizer(inputCol="clean_tokens", outputCol="tf", minDF=spec.min_df,
-                            vocabSize=spec.vocabulary_size)]
+def token_stages(spec: FeatureSpec) -> list:
+    return [tokenizer_stage(spec), stop_word_stage(spec)]
+
+
+def vectorizer_stage(spec: FeatureSpec) -> RankedVectorizer:
+    return RankedVectorizer(inputCol="clean_tokens", outputCol="tf", minDF=spec.min_df, vocabSize=spec.vocabulary_size)
 
 
 def selector_stage(selected: int, features: str = "tfidf", output: str = "selected",
-                   label: str = "label") -> ChiSqSelector:
-    return ChiSqSelector(numTopFeatures=selected, featuresCol=features, outputCol=output,
-                         labelCol=label)
+                   label: str = "label") -> ContingencySelector:
+    return ContingencySelector(numTopFeatures=selected, featuresCol=features, outputCol=output, labelCol=label)
 
 
 def weight_stages(spec: FeatureSpec) -> list:
     stages = [IDF(inputCol="tf", outputCol="tfidf"),
-              StringIndexer(inputCol="category", outputCol="label")]
+              StringIndexer(inputCol="category", outputCol="label", stringOrderType="frequencyDesc")]
+    if spec.normalize == "before":
+        stages.append(Normalizer(inputCol="tfidf", outputCol="scaled", p=2.0))
+    if spec.selected is None:
+        return stages
     if spec.normalize == "before":
-        return [*stages, Normalizer(inputCol="tfidf", outputCol="scaled", p=2.0),
-                selector_stage(spec.selected, features="scaled", output="features")]
+        return [*stages, selector_stage(spec.selected, features="scaled", output="features")]
     if spec.normalize == "after":
         return [*stages, selector_stage(spec.selected),
                 Normalizer(inputCol="selected", outputCol="features", p=2.0)]
@@ -73,7 +80,7 @@ def weight_stages(spec: FeatureSpec) -> list:
 
 def feature_stages(spec: FeatureSpec = FeatureSpec()) -> list:
     """All stages, for a pipeline that is fitted as a whole (for example inside folds)."""
-    return [*count_stages(spec), *weight_stages(spec)]
+    return [*token_stages(spec), vectorizer_stage(spec), *weight_stages(spec)]
 
 
 @dataclass(frozen=True)
@@ -100,37 +107,22 @@ def fit_features(documents: DataFrame, spec: FeatureSpec = FeatureSpec(),
                  keep: Sequence[str] = (), fit_on: Column | None = None) -> Features:
     """Fit all feature stages and transform ``(keep..., category, text)`` documents.
 
-    The text is read twice, for the vocabulary and for the term counts. The counts are
-    written to the shared folder as sparse vectors, and everything fitted later reads
-    those. ``fit_on`` limits fitting to some rows, such as a training split; without it
-    the stages see all rows.
+    The text is read and tokenized once. Its terms are written to the shared folder, the
+    vocabulary and the sparse count vectors are made from those, and everything fitted later
+    reads the vectors. ``fit_on`` limits fitting to some rows, such as a training split;
+    without it the stages see all rows.
     """
     def fitting_rows(df: DataFrame) -> DataFrame:
         return df if fit_on is None else df.filter(fit_on)
 
-    counting = counting_model(fitting_rows(documents), spec)
-    counted = durable(counting.transform(documents).select(*keep, "category", "tf"), "tf")
+    tokenizing = PipelineModel(token_stages(spec))
+    tokens = durable(tokenizing.transform(documents).select(*keep, "category", "clean_tokens"), "tokens")
+    vectorizing = vectorizer_stage(spec).fit(fitting_rows(tokens))
+    counted = durable(vectorizing.transform(tokens).select(*keep, "category", "tf"), "tf")
     # Labels come from all rows: a category that the fitting rows lack is a label all the same.
     stages = [s.fit(counted) if isinstance(s, StringIndexer) else s for s in weight_stages(spec)]
     weighting = Pipeline(stages=stages).fit(fitting_rows(counted))
-    return Features(PipelineModel(counting.stages + weighting.stages), weighting.transform(counted))
-
-
-def counting_model(documents: DataFrame, spec: FeatureSpec) -> PipelineModel:
-    """Tokenizer, stop words and a count vectorizer over the ranked vocabulary.
-
-    The estimator of the vectorizer hands the best terms of *every* partition to the
-    driver. Here the counts are written once and cut off at a frequency, so only the
-    final list, at most ``vocabulary_size`` terms, gets there, and ties are settled by term.
-    """
-    tokenizing = [tokenizer_stage(spec), stop_word_stage(spec)]
-    tokens = PipelineModel(tokenizing).transform(documents)
-    least = spec.min_df if spec.min_df >= 1 else spec.min_df * documents.count()
-    frequencies = term_frequencies(tokens, [], "clean_tokens", min_length=0)
-    ranked = most_frequent(durable(document_frequencies(frequencies, least), "vocabulary"), spec.vocabulary_size)
-    terms = [row.term for row in sorted(ranked.collect(), key=lambda row: (-row.cf, row.term))]
-    return PipelineModel([*tokenizing, CountVectorizerModel.from_vocabulary(
-        terms, inputCol="clean_tokens", outputCol="tf")])
+    return Features(PipelineModel([*tokenizing.stages, vectorizing, *weighting.stages]), weighting.transform(counted))
 
 
 def training_frame(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -142,91 +134,44 @@ def training_frame(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return durable(frame.select(*columns), "training", rebalance=True)
 
 
-def reselect(features: Features, selected: int, output: str = "heavy_features",
+def reselect(features: Features, selected: int, output: str = "heavy_selected",
              fit_on: Column | None = None) -> DataFrame:
-    """The same TF-IDF vectors reduced to another number of terms, L2-normalized."""
-    stages = Pipeline(stages=[
-        selector_stage(selected, output="heavy_selected"),
-        Normalizer(inputCol="heavy_selected", outputCol=output, p=2.0)])
+    """The same TF-IDF vectors reduced to another number of terms."""
     rows = features.frame if fit_on is None else features.frame.filter(fit_on)
-    return stages.fit(rows).transform(features.frame)
+    return selector_stage(selected, output=output).fit(rows).transform(features.frame)
 
 
 def selected_terms(features: Features) -> DataFrame:
     """``(feature_index, term)`` of the selected features; bounded by the selector's count."""
     vocabulary = features.vocabulary
-    indices = _stage(features.model, ChiSqSelectorModel).selectedFeatures
-    return features.frame.sparkSession.createDataFrame(
-        [(int(i), vocabulary[i]) for i in indices], "feature_index int, term string")
+    indices = _stage(features.model, ContingencySelectorModel).selectedFeatures
+    return _indexed_terms(features, indices, [vocabulary[i] for i in indices])
 
 
 def vocabulary_frame(features: Features) -> DataFrame:
     """``(feature_index, term)`` of the fitted vocabulary; bounded by the vocabulary size."""
-    return features.frame.sparkSession.createDataFrame(
-        list(enumerate(features.vocabulary)), "feature_index int, term string")
+    return _indexed_terms(features, range(len(features.vocabulary)), features.vocabulary)
+
+
+def _indexed_terms(features: Features, indices: Sequence[int], terms: Sequence[str]) -> DataFrame:
+    """A local table, whose size the optimizer knows when it chooses a join."""
+    return features.frame.sparkSession.createDataFrame(pa.table({
+        "feature_index": pa.array(list(indices), pa.int32()), "term": pa.array(list(terms), pa.string())}))
 
 
 def vector_terms(features: Features, vector: str, keep: Sequence[str]) -> DataFrame:
     """Sparse vectors over the whole vocabulary as ``(keep..., term, weight)`` rows.
 
-    The vocabulary side of the join is bounded by the fitted vocabulary size, which the
-    model already holds on the driver, so it is broadcast.
+    Terms are as skewed as language is; the vocabulary is broadcast if it is found to be
+    small and joined with skew splitting otherwise.
     """
-    sparse = features.frame.select(*keep, F.unwrap_udt(vector).alias("v"))
-    entries = (sparse.select(*keep, F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-               .select(*keep, F.col("e.indices").alias("feature_index"),
-                       F.col("e.values").alias("weight")))
-    return (entries.join(F.broadcast(vocabulary_frame(features)), "feature_index")
-            .select(*keep, "term", "weight"))
+    entries = vector_entries(features.frame, vector, list(keep)).withColumnRenamed("value", "weight")
+    return entries.join(vocabulary_frame(features), "feature_index").select(*keep, "term", "weight")
 
 
 # Relational counterparts -------------------------------------------------------------
 
 
-def document_frequencies(frequencies: DataFrame, min_df: float = 1) -> DataFrame:
-    """``(term, df, cf)`` from ``(document, term, n)`` rows: documents and occurrences."""
-    return (frequencies.groupBy("term")
-            .agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("cf"))
-            .filter(F.col("df") >= min_df))
-
-
-def vocabulary_table(frequencies: DataFrame, size: int = K.VOCABULARY_SIZE,
-                     min_df: float = K.MIN_DOCUMENT_FREQUENCY) -> DataFrame:
-    """The ``size`` most frequent terms, ties by term; rows come in no order."""
-    return most_frequent(document_frequencies(frequencies, min_df), size)
-
-
-def most_frequent(counted: DataFrame, size: int) -> DataFrame:
-    """The ``size`` rows ``(term, df, cf)`` with the highest ``cf``, ties by term.
-
-    A histogram gives the frequency at which the running number of terms reaches
-    ``size``, a second one, of the terms with just that frequency, the first letters.
-    Everything before that point is in, and only the terms at it are ranked. The windows
-    see one row per distinct frequency, of which N occurrences allow sqrt(2 N), and
-    one per beginning of a word.
-    """
-    terms = counted.withColumn("start", F.substring("term", 1, 4))
-    at = _reached(terms.groupBy("cf").agg(F.count(F.lit(1)).alias("terms")),
-                  "cf", F.col("cf").desc(), F.lit(size))
-    tied = F.col("cf") == at["cf"]
-    within = _reached(terms.filter(tied).groupBy("start").agg(F.count(F.lit(1)).alias("terms")),
-                      "start", F.col("start").asc(), at["left"])
-    before = F.coalesce((F.col("cf") > at["cf"]) | (tied & (F.col("start") < within["start"])), F.lit(True))
-    last = (terms.filter(tied & (F.col("start") == within["start"])).orderBy("term").limit(size)
-            .withColumn("place", F.row_number().over(Window.orderBy("term")))
-            .filter(F.col("place") <= within["left"]).drop("place"))
-    return terms.filter(before).unionByName(last).drop("start")
-
-
-def _reached(levels: DataFrame, level: str, order: Column, wanted: Column) -> Column:
-    """The level at which ``terms``, summed in ``order``, reach ``wanted``, and how many of
-    its own terms that takes (``left``); null if they never do."""
-    running = levels.withColumn("running", F.sum("terms").over(Window.orderBy(order)))
-    left = (wanted - F.col("running") + F.col("terms")).alias("left")
-    return (running.filter(F.col("running") >= wanted)
-            .agg(F.min_by(F.struct(level, left), "running").alias("reached")).scalar())
-
-
 def idf_table(vocabulary: DataFrame, documents: DataFrame) -> DataFrame:
     """``ln((N + 1) / (df + 1))`` per term; ``documents`` gives N."""
     n = documents.agg(F.count(F.lit(1)).alias("n")).scalar()
@@ -255,31 +200,18 @@ def label_index_table(documents: DataFrame) -> DataFrame:
 
 
 def feature_statistics(frequencies: DataFrame, documents: DataFrame) -> DataFrame:
-    """Chi-square statistic and degrees of freedom of each term against the category.
+    """``(term, df, statistic, degrees)`` of each term's counts against the category.
 
-    The contingency table of a term has one row per distinct count, zero included, and
-    one column per category. With O the cells, R the row and C the column totals the
-    statistic is ``N * (sum O^2 / (R C) - 1)``, to which empty cells add nothing; the
-    row of zeros follows from the totals. So only observed cells are ever built.
     ``frequencies`` is ``(category, term, n)`` per document, ``documents`` has the categories.
     """
-    per_category = documents.groupBy("category").agg(F.count(F.lit(1)).alias("c"))
-    totals = per_category.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("labels"))
-    n = totals.select("n").scalar().cast("double")
-    labels = totals.select("labels").scalar()
-    cells = (frequencies.groupBy("term", "n", "category").agg(F.count(F.lit(1)).alias("o"))
-             .join(per_category, "category"))
-    o, c = F.col("o").cast("double"), F.col("c").cast("double")
-    by_count = (cells.groupBy("term", "n")
-                .agg((F.sum(o * o / c) / F.sum(o)).alias("part"))
-                .groupBy("term").agg(F.sum("part").alias("present"), F.count(F.lit(1)).alias("rows")))
-    by_category = (cells.groupBy("term", "category").agg(F.sum(o).alias("p"), F.max(c).alias("c"))
-                   .groupBy("term").agg(F.sum("p").alias("df"),
-                                        F.sum(F.col("p") * F.col("p") / F.col("c")).alias("z")))
-    df = F.col("df")
-    absent = F.when(n > df, (n - 2.0 * df + F.col("z")) / (n - df)).otherwise(0.0)
-    rows = F.col("rows") + F.when(n > df, 1).otherwise(0)
-    return by_count.join(by_category, "term").select(
-        "term", df.cast("bigint").alias("df"),
-        (n * (F.col("present") + absent - 1.0)).alias("statistic"),
-        ((rows - 1) * (labels - 1)).cast("bigint").alias("degrees"))
+    return contingency_statistics(frequencies, documents, "term", "n")
+
+
+def best_terms(statistics: DataFrame, vocabulary: DataFrame, selected: int = K.SELECTED_FEATURES) -> DataFrame:
+    """``(term, log_p)`` of the ``selected`` terms with the smallest p-values.
+
+    Ties go by the place in the vocabulary, ``(term, cf)``: more occurrences first, then by term.
+    """
+    order = [F.col("log_p"), F.col("cf").desc(), F.col("term")]
+    return (with_log_p(statistics).join(vocabulary.select("term", "cf"), "term")
+            .orderBy(*order).limit(selected).select("term", "log_p"))

@@ -1,6 +1,7 @@
-"""Classifier queries. Iterative, so they are checked by rows; formulas are tested apart.
+"""Classifier queries, over full grids. Every query fits what it needs itself.
 
-The grids here have two points; the full grids are the defaults of ``svm_grid``.
+Fitting is iterative, so its outcome has no SQL equivalent; what follows from fitted weights
+has one, see ``tests/test_scoring.py``.
 """
 
 from __future__ import annotations
@@ -11,28 +12,18 @@ from pyspark.sql import functions as F
 from lexisift.functions import constants as K
 from lexisift.operators import classify as C
 from lexisift.operators import features as X
+from lexisift.operators import scoring as M
 from lexisift.operators import splits as S
+from lexisift.operators.search import parallel_fits
+from lexisift.operators.selection import vector_entries
 from lexisift.plans import corpora
 from lexisift.plans.registry import query
 from lexisift.plans.splitting import THREE_WAY, TWO_WAY
 
-# The small grid and fold count of the registered queries.
-MAX_ITER = (10,)
-REG_PARAM = (0.01, 0.1)
-STANDARDIZATION = (True,)
-FOLDS = 2
-
+FOLDS = 3
 COLUMNS = ["doc_id", "split", "category", "label"]
-
-_MODELS: dict[tuple, object] = {}
-
-
-def _once(spark: SparkSession, folder: str, name: str, build):
-    """Fitted models are shared by the queries of a session."""
-    key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _MODELS:
-        _MODELS[key] = build()
-    return _MODELS[key]
+SELECTED = X.FeatureSpec(normalize="none")
+LIGHT, HEAVY = f"top {K.SELECTED_FEATURES}", f"top {K.SELECTED_FEATURES_HEAVY}"
 
 
 def _documents(spark: SparkSession, folder: str, parts) -> DataFrame:
@@ -42,109 +33,117 @@ def _documents(spark: SparkSession, folder: str, parts) -> DataFrame:
 
 def features(spark: SparkSession, folder: str) -> X.Features:
     """Feature stages fitted on the training part only; selected terms not yet normalized."""
-    def build():
-        documents = _documents(spark, folder, THREE_WAY)
-        return X.fit_features(documents, X.FeatureSpec(normalize="none"),
-                              keep=["doc_id", "split"], fit_on=F.col("split") == "train")
-    return _once(spark, folder, "features", build)
+    return X.fit_features(_documents(spark, folder, THREE_WAY), SELECTED,
+                          keep=["doc_id", "split"], fit_on=F.col("split") == "train")
 
 
-def training(spark: SparkSession, folder: str) -> DataFrame:
-    return _once(spark, folder, "training", lambda: X.training_frame(
-        features(spark, folder).frame, COLUMNS + ["features"]))
+def _vectors(fitted: X.Features) -> DataFrame:
+    return X.training_frame(fitted.frame, COLUMNS + ["features"])
 
 
 def _part(frame: DataFrame, name: str) -> DataFrame:
     return frame.filter(F.col("split") == name)
 
 
-def _svm(column: str = "scaled"):
-    return C.linear_svm(features=column, max_iter=MAX_ITER[0])
-
-
-def _grid(svm):
-    return C.svm_grid(svm, REG_PARAM, STANDARDIZATION, MAX_ITER)
-
+def _baseline(rows: DataFrame):
+    svm = C.linear_svm(features="scaled")
+    return C.normalized_classifier(svm, "features", parallel_fits(rows.sparkSession)).fit(_part(rows, "train"))
 
-def baseline(spark: SparkSession, folder: str):
-    return _once(spark, folder, "baseline", lambda: C.normalized_classifier(
-        _svm(), "features", C.PARALLEL_FITS).fit(_part(training(spark, folder), "train")))
 
-
-def tuned(spark: SparkSession, folder: str):
-    def build():
-        train = S.assign_folds(_part(training(spark, folder), "train"), "doc_id", FOLDS)
-        svm = _svm()
-        return C.cross_validate(C.normalized_classifier(svm, "features"), _grid(svm), train,
-                                folds=FOLDS, fold_column="fold")
-    return _once(spark, folder, "tuned", build)
+def _tuned(rows: DataFrame, column: str = "features"):
+    """Cross-validation of the full grid on the training part."""
+    train = S.assign_folds(_part(rows, "train"), "doc_id", FOLDS)
+    svm = C.linear_svm(features="scaled")
+    return C.cross_validate(C.normalized_classifier(svm, column), C.svm_grid(svm), train, folds=FOLDS)
 
 
 @query("svm_ovr_predict")
 def predict(spark, folder):
-    """Predicted category of every test document."""
-    labels = features(spark, folder).labels
-    predictions = baseline(spark, folder).transform(_part(training(spark, folder), "test"))
-    return C.with_predicted_category(predictions, labels).select(
+    """Predicted category of every test document, from a table of weights."""
+    fitted = features(spark, folder)
+    rows = _vectors(fitted)
+    normalizer, classifier = _baseline(rows).stages
+    test = normalizer.transform(_part(rows, "test"))
+    margins = M.margins(vector_entries(test, classifier.getFeaturesCol(), ["doc_id"]), test,
+                        M.weight_table(spark, classifier), ["doc_id"])
+    predictions = M.best_class(margins, ["doc_id"]).join(test.select("doc_id", "category"), "doc_id")
+    return C.with_predicted_category(predictions, fitted.labels).select(
         "doc_id", "category", "predicted_category")
 
 
 @query("cv_grid")
 def cv_grid(spark, folder):
-    return C.grid_report(spark, tuned(spark, folder))
+    return C.grid_report(spark, _tuned(_vectors(features(spark, folder))))
 
 
 @query("best_params")
 def best_params(spark, folder):
-    return C.best_parameters(spark, tuned(spark, folder))
+    return C.best_parameters(spark, _tuned(_vectors(features(spark, folder))))
 
 
 @query("tuned_vs_base")
 def tuned_vs_base(spark, folder):
-    test = _part(training(spark, folder), "test")
-    return C.compare_models(test, {"baseline": baseline(spark, folder),
-                                   "tuned": tuned(spark, folder).bestModel})
+    rows = _vectors(features(spark, folder))
+    return C.compare_models(_part(rows, "test"), {"baseline": _baseline(rows), "tuned": _tuned(rows).bestModel})
 
 
 @query("tvs_grid")
 def tvs_grid(spark, folder):
-    def build():
-        svm = _svm()
-        train = training(spark, folder).filter(F.col("split") != "test")
-        return C.validate(C.normalized_classifier(svm, "features"), _grid(svm), train)
-    return C.grid_report(spark, _once(spark, folder, "validated", build))
+    rows = _vectors(features(spark, folder)).filter(F.col("split") != "test")
+    svm = C.linear_svm(features="scaled")
+    return C.grid_report(spark, C.validate(C.normalized_classifier(svm, "features"), C.svm_grid(svm), rows,
+                                           F.col("split") == "validation"))
 
 
 @query("light_vs_heavy")
 def light_vs_heavy(spark, folder):
     """2,000 against 500 selected terms, each tuned and tested on its own features."""
-    light = C.compare_models(_part(training(spark, folder), "test"),
-                             {f"top {K.SELECTED_FEATURES}": tuned(spark, folder).bestModel})
-
-    def build():
-        heavy = X.training_frame(
-            X.reselect(features(spark, folder), K.SELECTED_FEATURES_HEAVY,
-                       fit_on=F.col("split") == "train"), COLUMNS + ["heavy_features"])
-        train = S.assign_folds(_part(heavy, "train"), "doc_id", FOLDS)
-        svm = _svm("heavy_features")
-        model = C.cross_validate(C.one_vs_rest(svm), _grid(svm), train, folds=FOLDS,
-                                 fold_column="fold")
-        return heavy, model.bestModel
-
-    heavy, model = _once(spark, folder, "heavy", build)
+    fitted = features(spark, folder)
+    rows = _vectors(fitted)
+    light = C.compare_models(_part(rows, "test"), {LIGHT: _tuned(rows).bestModel})
+    heavy = X.training_frame(X.reselect(fitted, K.SELECTED_FEATURES_HEAVY, fit_on=F.col("split") == "train"),
+                             COLUMNS + ["heavy_selected"])
     return light.unionByName(C.compare_models(
-        _part(heavy, "test"), {f"top {K.SELECTED_FEATURES_HEAVY}": model}))
+        _part(heavy, "test"), {HEAVY: _tuned(heavy, "heavy_selected").bestModel}))
+
+
+@query("tvs_norm_first")
+def normalized_first(spark, folder):
+    """Terms selected on normalized vectors, more iterations, one validation part, text to prediction."""
+    documents = S.assign_nested_splits(corpora.documents(spark, folder, null_text="drop"), "doc_id")
+    svm = C.linear_svm()
+    return C.grid_report(spark, C.validate(
+        C.text_classifier(svm, X.FeatureSpec(normalize="before")), C.svm_grid(svm, **C.GRIDS["long"]),
+        documents.filter(F.col("split") != "test"), F.col("split") == "validation"))
+
+
+@query("draft_search")
+def draft_search(spark, folder):
+    """The draft grid on two folds of a quarter of the documents (the sampling operator)."""
+    rows = _vectors(features(spark, folder))
+    svm = C.linear_svm(features="scaled", max_iter=K.GRID_MAX_ITER_DRAFT[0])
+    sample = S.assign_folds(S.sample_percent(rows, "doc_id", 25, seed=4242), "doc_id", 2)
+    return C.grid_report(spark, C.cross_validate(
+        C.normalized_classifier(svm, "features"), C.svm_grid(svm, **C.GRIDS["draft"]), sample, folds=2))
+
+
+@query("cv_text_grid")
+def cv_text_grid(spark, folder):
+    """Features fitted inside three folds, with the number of selected terms in the grid."""
+    train = S.assign_folds(_part(_documents(spark, folder, THREE_WAY), "train"), "doc_id", FOLDS)
+    return C.grid_report(spark, C.cross_validate(*_text_search(), train, folds=FOLDS))
 
 
 @query("tvs_text_grid")
-def text_grid(spark, folder):
-    """Features fitted inside the search, with the number of selected terms in the grid."""
-    def build():
-        svm = C.linear_svm(max_iter=MAX_ITER[0])
-        estimator = C.text_classifier(svm, X.FeatureSpec())
-        selector = next(s for s in estimator.getStages() if hasattr(s, "numTopFeatures"))
-        grid = C.svm_grid(svm, REG_PARAM[:1], STANDARDIZATION, MAX_ITER, selector,
-                          K.GRID_NUM_FEATURES)
-        train = _part(_documents(spark, folder, TWO_WAY), "train")
-        return C.validate(estimator, grid, train)
-    return C.grid_report(spark, _once(spark, folder, "text", build))
+def tvs_text_grid(spark, folder):
+    """The same grid under one validation part."""
+    train = _part(_documents(spark, folder, TWO_WAY), "train")
+    held_out = S.bucket("doc_id", seed=43) >= 80
+    return C.grid_report(spark, C.validate(*_text_search(), train.withColumn("held_out", held_out), F.col("held_out")))
+
+
+def _text_search() -> tuple:
+    svm = C.linear_svm()
+    estimator = C.text_classifier(svm, X.FeatureSpec())
+    selector = next(s for s in estimator.getStages() if s.hasParam("numTopFeatures"))
+    return estimator, C.svm_grid(svm, selector=selector)

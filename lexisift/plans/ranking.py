@@ -82,6 +82,16 @@ def report(spark, folder):
     return report_lines(top_terms(stats))
 
 
+@query("report_lines_bracket", sql.chi_top(tokenizer="replace_split", zero="zero") + f""",
+lines AS ({_lines(UNROUNDED, "'<' || category || '>'")})
+SELECT line FROM lines
+UNION ALL SELECT string_agg(term, ' ' ORDER BY term) FROM (SELECT DISTINCT term FROM top)""")
+def bracket_report(spark, folder):
+    """Bracketed lines in alphabetical order, then the merged vocabulary line."""
+    top = top_terms(scored(spark, folder, zero="zero", tokenizer="replace_split"))
+    return report_lines(top, "unrounded", brackets=True)
+
+
 @query("stats_ordered",
        f"{sql.chi(tokenizer='regex', variant='mixed')}\n"
        f"SELECT {', '.join(STATISTICS)} FROM scored ORDER BY category, chi2 DESC, term")

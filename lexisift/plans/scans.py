@@ -86,6 +86,36 @@ def json_permissive(spark, folder):
     return _reviews(corpus.drop_nulls(rows, ["reviewText", "category"]))
 
 
+REJECTS = """SELECT 'not JSON' AS reject, '{"reviewerID": "' || doc_id::VARCHAR || '", "reviewText": ' AS line FROM documents
+UNION ALL
+SELECT 'field type', '{"reviewerID":"' || doc_id::VARCHAR || '","overall":"high"}' FROM documents WHERE doc_id % 3 = 0"""
+
+
+def _write_damaged_reviews(spark: SparkSession, folder: str) -> str:
+    """Review lines, a broken one behind each, and for every third one with a value of another type."""
+    table = spread(corpus.read_table(spark, folder, "documents", ["doc_id", "text", "source", "lang"]))
+    number = F.col("doc_id").cast("string")
+    good = F.to_json(F.struct(number.alias("reviewerID"), F.col("text").alias("reviewText"),
+                              F.col("source").alias("summary"), F.col("lang").alias("category")))
+    broken = F.concat(F.lit('{"reviewerID": "'), number, F.lit('", "reviewText": '))
+    typed = F.when(F.col("doc_id") % 3 == 0, F.to_json(F.struct(number.alias("reviewerID"), F.lit("high").alias("overall"))))
+    path = shared_folder(spark, "reviews")
+    write_lines(table.select(F.explode(F.array_compact(F.array(good, broken, typed))).alias("value")), path)
+    return path
+
+
+@query("json_rejects", REJECTS)
+def json_rejects(spark, folder):
+    """Lines that are no valid records, whole and with the reason."""
+    return corpus.rejected_reviews(corpus.read_reviews_marked(spark, _write_damaged_reviews(spark, folder)))
+
+
+@query("json_marked_roundtrip", REVIEWS)
+def json_marked(spark, folder):
+    """The valid records of the same lines."""
+    return _reviews(corpus.valid_reviews(corpus.read_reviews_marked(spark, _write_damaged_reviews(spark, folder))))
+
+
 @query("json_inferred_roundtrip", REVIEWS)
 def json_inferred(spark, folder):
     return _reviews(corpus.read_reviews_inferred(spark, _write_reviews(spark, folder, broken=False)))

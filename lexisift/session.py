@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,9 +43,51 @@ def shared_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+class Workspace:
+    """Owns the folders that are made while it is open, and deletes them when it closes.
+
+    ``with Workspace(spark): ...`` around a job that collects or writes its result leaves
+    nothing behind in the shared folder. Until it closes the folders stay, so lost tasks
+    can be run again from them. Frames that read them are not usable afterwards. An
+    inner workspace owns what is made inside it; other threads use the same ones.
+    """
+
+    _open: list[Workspace] = []
+    _lock = threading.Lock()
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def __enter__(self) -> Workspace:
+        with self._lock:
+            self._open.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        with self._lock:
+            self._open.remove(self)
+        for folder in self.folders:
+            store, path = located(folder)
+            if store.get_file_info(path).type != fs.FileType.NotFound:
+                store.delete_dir(path)
+
+    @classmethod
+    def note(cls, folder: str) -> None:
+        with cls._lock:
+            if cls._open:
+                cls._open[-1].folders.append(folder)
+
+
+def located(uri: str) -> tuple[fs.FileSystem, str]:
+    """The Arrow file system of a URI (local, HDFS, S3, GCS, Azure) and the path in it."""
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", uri).replace("s3a://", "s3://", 1))
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below the shared folder; every call gives another one."""
-    return f"{shared_root(spark)}/lexisift/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{shared_root(spark)}/lexisift/{purpose}-{uuid.uuid4().hex}"
+    Workspace.note(folder)
+    return folder
 
 
 def durable(df: DataFrame, purpose: str = "table", rebalance: bool = False) -> DataFrame:

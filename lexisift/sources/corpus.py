@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexisift.session import spread
-
 # Fields of a review record.
 REVIEW_SCHEMA = T.StructType([
     T.StructField("reviewerID", T.StringType()),
@@ -54,6 +52,37 @@ def read_reviews(spark: SparkSession, path: str, schema: T.StructType | None = N
             .option("mode", modes[malformed]).json(path))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def read_reviews_marked(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Every line with its fields, a ``reject`` reason (null when valid) and, if rejected, the ``line``.
+
+    ``not JSON`` is a line that does not parse as an object, ``field type`` one whose values
+    do not have the declared types. Bytes that are not UTF-8 become replacement characters
+    before parsing. Blank lines are no records.
+    """
+    fields = schema or REVIEW_SCHEMA
+    marked = T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.text(path).select(F.make_valid_utf8("value").alias("line")).where(F.trim("line") != "")
+    # Exploding a one-element array keeps the parse from being repeated for every field.
+    parsed = lines.select("line", F.explode(F.array(F.from_json(
+        "line", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))).alias("r"))
+    broken = F.col(f"r.{CORRUPT}").isNotNull() | F.col("r").isNull()
+    objects = F.try_variant_get(F.try_parse_json("line"), "$", "map<string, variant>").isNotNull()
+    reason = F.when(broken, F.when(objects, "field type").otherwise("not JSON"))
+    return parsed.select("r.*", reason.alias("reject"), F.when(broken, F.col("line")).alias("line")).drop(CORRUPT)
+
+
+def valid_reviews(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("reject").isNull()).drop("reject", "line")
+
+
+def rejected_reviews(rows: DataFrame) -> DataFrame:
+    """``(reject, line)`` of the lines that are no valid records."""
+    return rows.filter(F.col("reject").isNotNull()).select("reject", "line")
+
+
 def read_reviews_inferred(spark: SparkSession, path: str,
                           sampling_ratio: float = 1.0) -> DataFrame:
     """JSON lines with the schema taken from the data, at the price of one more pass."""
@@ -97,7 +126,3 @@ def drop_nulls(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def present_columns(df: DataFrame, wanted: Sequence[str]) -> tuple[list[str], list[str]]:
     """Split the wanted names into (present, missing) without touching data."""
     return ([c for c in wanted if c in df.columns], [c for c in wanted if c not in df.columns])
-
-
-def spread_documents(df: DataFrame) -> DataFrame:
-    return spread(df)

@@ -2,10 +2,14 @@ import math
 
 import pytest
 from pyspark.ml import Pipeline
+from pyspark.ml.feature import ChiSqSelector, CountVectorizer, VectorAssembler
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lexisift.operators import features as X
+from lexisift.operators.selection import log_upper_gamma
 from lexisift.operators.tokens import term_frequencies, with_tokens
 from lexisift.operators.vocabulary import (common_terms, merged_vocabulary, overlap,
                                            terms_only_in_first)
@@ -50,8 +54,9 @@ def test_vectors_equal_relational_tfidf(fitted, frequencies, documents):
 @pytest.mark.parametrize("min_df", [1, 30, 0.5])
 def test_ranked_vocabulary_equals_the_vectorizer(documents, min_df):
     spec = X.FeatureSpec(stop_words=("tef",), min_df=min_df, vocabulary_size=1000)
-    ranked = X.counting_model(documents, spec)
-    estimated = Pipeline(stages=X.count_stages(spec)).fit(documents)
+    ranked = Pipeline(stages=[*X.token_stages(spec), X.vectorizer_stage(spec)]).fit(documents)
+    estimated = Pipeline(stages=[*X.token_stages(spec), CountVectorizer(
+        inputCol="clean_tokens", outputCol="tf", minDF=min_df, vocabSize=1000)]).fit(documents)
     assert sorted(ranked.stages[-1].vocabulary) == sorted(estimated.stages[-1].vocabulary)
 
 
@@ -74,6 +79,53 @@ def test_selection_takes_the_smallest_p_values(fitted):
     assert chosen == {i: fitted.vocabulary[i] for i in order}
 
 
+@pytest.mark.parametrize("selected", [1, 7, 25, 100])
+def test_selector_equals_the_one_for_few_values(fitted, selected):
+    plain = ChiSqSelector(numTopFeatures=selected, featuresCol="tfidf", labelCol="label", outputCol="s").fit(fitted.frame)
+    own = X.selector_stage(selected, output="own").fit(fitted.frame)
+    assert own.selectedFeatures == sorted(plain.selectedFeatures)
+    compared = own.transform(plain.transform(fitted.frame)).select("s", "own").collect()
+    assert all(r.s == r.own for r in compared)
+
+
+def test_selector_takes_any_number_of_distinct_values(spark):
+    """One value per row: more than Spark's own selector allows."""
+    rows = (spark.range(13_500).select(
+        (F.col("id") % 3).cast("double").alias("label"), F.col("id").cast("double").alias("x"),
+        F.when(F.col("id") % 3 == 0, 1.0).otherwise(0.0).alias("y"), (F.col("id") % 7).cast("double").alias("z")))
+    vectors = VectorAssembler(inputCols=["z", "x", "y"], outputCol="features").transform(rows)
+    selector = X.ContingencySelector(numTopFeatures=1)
+    found = {r.feature_index: r for r in selector.ranked(vectors).collect()}
+    assert found[1].df == 13_499 and found[1].degrees == 13_499 * 2
+    assert found[1].statistic == pytest.approx(27_000, rel=1e-9)
+    assert selector.fit(vectors).selectedFeatures == [2]
+    assert selector.copy({selector.numTopFeatures: 2}).fit(vectors).selectedFeatures == [1, 2]
+    assert X.ContingencySelector(numTopFeatures=9).fit(vectors).selectedFeatures == [0, 1, 2]
+
+
+def test_selector_on_odd_rows(spark):
+    schema = StructType([StructField("label", DoubleType()), StructField("features", VectorUDT())])
+    rows = spark.createDataFrame(
+        [(0.0, Vectors.sparse(4, {1: 1.0})), (1.0, Vectors.sparse(4, {})), (None, Vectors.sparse(4, {0: 1.0})),
+         (0.0, Vectors.dense([0.0, 1.0, 0.0, 0.0]))], schema)
+    assert X.ContingencySelector(numTopFeatures=2).fit(rows).selectedFeatures == [0, 1]
+    assert X.ContingencySelector(numTopFeatures=2).fit(rows.limit(0)).selectedFeatures == []
+
+
+def test_logarithms_of_p_values():
+    """Against the closed forms: exp(-x) sum x^i / i! for whole shapes, and erfc for one half."""
+    for shape in (1, 2, 5, 40, 300):
+        for x in (0.0, 0.01, 0.5, 1.0, shape * 0.7, float(shape), shape + 1.0, shape * 1.3, shape * 4.0, shape * 40.0):
+            terms = [i * math.log(x) - math.lgamma(i + 1) for i in range(shape)] if x else [0.0]
+            top = max(terms)
+            want = -x + top + math.log(math.fsum(math.exp(t - top) for t in terms))
+            assert log_upper_gamma(shape, x).item() == pytest.approx(want, rel=1e-10, abs=1e-13)
+    for x in (0.01, 0.3, 1.0, 5.0, 30.0):
+        assert log_upper_gamma(0.5, x).item() == pytest.approx(math.log(math.erfc(math.sqrt(x))), rel=1e-10)
+    assert log_upper_gamma([3.0], [2000.0]).item() < -1900     # far below what a double can hold as a p-value
+    assert log_upper_gamma(20_000.0, 20_000.0).item() == pytest.approx(math.log(0.5), abs=0.01)
+
+
 def test_label_index_equals_stage(fitted, documents):
     table = {r.category: r.label for r in X.label_index_table(documents).collect()}
     stage = {r.category: r.label for r in fitted.frame.select("category", "label").distinct().collect()}
@@ -96,15 +148,42 @@ def test_fitting_on_a_part_ignores_the_rest(documents):
 
 def test_heavier_selection(fitted):
     heavy = X.reselect(fitted, 4)
-    assert heavy.select(F.unwrap_udt("heavy_features").alias("v")).first().v["size"] == 4
+    assert heavy.select(F.unwrap_udt("heavy_selected").alias("v")).first().v["size"] == 4
+
+
+def test_documents_are_read_once(spark, tmp_path, documents):
+    """Vocabulary, counts and weights all come from the terms that one scan wrote."""
+    path = str(tmp_path / "documents")
+    documents.repartition(3).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+    def counting(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+    source = spark.read.parquet(path)
+    X.fit_features(source.mapInArrow(counting, source.schema), SPEC, keep=["doc_id"]).frame.count()
+    assert reads.value == 120
+
+
+def test_vocabulary_limits_and_ties(spark):
+    rows = spark.createDataFrame([(["b", "a", "c", "c"],), (["b", "a"],), (["d"],), ([],)], "tokens array<string>")
+    def words(**options):
+        return X.RankedVectorizer(**options).fit(rows).vocabulary
+    assert words() == ["a", "b", "c", "d"]
+    assert words(vocabSize=2) == ["a", "b"]
+    assert words(minDF=2) == ["a", "b"] and words(minDF=0.5) == ["a", "b"]
+    with pytest.raises(ValueError):
+        words(minDF=5)
+    copied = X.RankedVectorizer(vocabSize=2).copy({X.RankedVectorizer.minDF: 2})
+    assert copied.fit(rows).vocabulary == ["a", "b"]
 
 
 @pytest.mark.parametrize("normalize", ["before", "after", "none"])
 def test_stage_orders(normalize):
     names = [type(s).__name__ for s in X.feature_stages(X.FeatureSpec(normalize=normalize))]
-    assert names[:5] == ["RegexTokenizer", "StopWordsRemover", "CountVectorizer", "IDF", "StringIndexer"]
-    assert names[5:] == {"before": ["Normalizer", "ChiSqSelector"],
-                         "after": ["ChiSqSelector", "Normalizer"], "none": ["ChiSqSelector"]}[normalize]
+    assert names[:5] == ["RegexTokenizer", "StopWordsRemover", "RankedVectorizer", "IDF", "StringIndexer"]
+    assert names[5:] == {"before": ["Normalizer", "ContingencySelector"],
+                         "after": ["ContingencySelector", "Normalizer"], "none": ["ContingencySelector"]}[normalize]
 
 
 def test_vocabulary_comparison(spark):

@@ -70,12 +70,16 @@ def test_standard_score_is_not_negative_and_mirrors_over_two_categories(spark):
         assert other is None or value == pytest.approx(other)
 
 
-def test_inlined_and_joined_stop_words_agree(corpus, spark, monkeypatch):
-    words = spark.createDataFrame([("red",), ("blue",)], "term string")
+def test_inlined_and_joined_stop_words_agree(corpus, spark):
+    words = spark.createDataFrame([("red",), ("blue",), (None,)], "term string")
     inlined = scores(text_statistics(corpus, stop_words=["red", "blue"]))
-    assert scores(text_statistics(corpus, stop_words=words)) == inlined
-    monkeypatch.setattr("lexisift.operators.tokens.inline_words", lambda frame: None)
-    assert scores(text_statistics(corpus, stop_words=words)) == inlined
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in (threshold, "-1"):      # a list small enough to broadcast, and one that is not
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            assert scores(text_statistics(corpus, stop_words=words)) == inlined
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert {t for t, _ in inlined} == {"apple", "pear"}
 
 

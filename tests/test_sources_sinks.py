@@ -1,13 +1,14 @@
 import json
 
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexisift.operators.counts import documents_per_category_term
 from lexisift.operators.ranking import top_terms
 from lexisift.operators.tokens import term_frequencies
-from lexisift.session import durable, shared_root, spread
+from lexisift.session import Workspace, durable, located, shared_folder, shared_root, spread
 from lexisift.sinks import reports, tables
 from lexisift.sources import corpus as C
 from lexisift.sources import token_csv, words
@@ -198,3 +199,49 @@ def test_spread_only_when_splits_are_few(spark):
 
 def test_preview(scored):
     assert reports.preview(scored.orderBy(F.col("chi2").desc()), 1).count() == 1
+
+
+def test_json_rejects_keep_line_and_reason(spark, tmp_path):
+    good = b'{"reviewerID": "a", "reviewText": "fine", "category": "x"}'
+    lines = [good, b'{"reviewerID": "b", "overall": "high", "category": "x"}', b'{"reviewerID": ', b"[1, 2]", b"7", b"", b"  ",
+             b'{"reviewerID": "c", "reviewText": "caf\xe9 \xff!", "category": "y"}', b'{"reviewText": "\xc3"']
+    (tmp_path / "r.json").write_bytes(b"\n".join(lines) + b"\n")
+    rows = C.read_reviews_marked(spark, str(tmp_path / "r.json"))
+    valid = {r.reviewerID: (r.reviewText, r.category) for r in C.valid_reviews(rows).collect()}
+    assert valid == {"a": ("fine", "x"), "c": ("caf\ufffd \ufffd!", "y")}
+    assert C.valid_reviews(rows).columns == C.REVIEW_SCHEMA.names
+    rejects = sorted((r.reject, r.line) for r in C.rejected_reviews(rows).collect())
+    assert rejects == sorted([("field type", lines[1].decode()), ("not JSON", lines[2].decode()), ("not JSON", "[1, 2]"),
+                              ("not JSON", "7"), ("not JSON", '{"reviewText": "\ufffd"')])
+
+
+def test_csv_bytes_that_are_not_utf8(spark, tmp_path):
+    (tmp_path / "t.csv").write_bytes(b'reviewText_tokens,category\n"[\'caf\xe9\',\'ok\']",x\n"[\'open",caf\xff\n')
+    rows = token_csv.read_token_csv(spark, str(tmp_path / "t.csv"))
+    assert [(r.tokens, r.category) for r in token_csv.valid_rows(rows).collect()] == [(["caf\ufffd", "ok"], "x")]
+    rejected = token_csv.rejected_rows(rows).collect()
+    assert [(r.reject, "\ufffd" in r.line) for r in rejected] == [("token list", True)]
+    long = "é" * 150
+    (tmp_path / "l.csv").write_text(f"reviewText_tokens,category\n{long},x\n", encoding="utf-8")
+    preview = token_csv.rejected_rows(token_csv.read_token_csv(spark, str(tmp_path / "l.csv"))).first().preview
+    assert preview == long[:token_csv.PREVIEW_CHARACTERS]
+
+
+def test_workspace_deletes_what_it_owns(spark):
+    def there(folder):
+        store, path = located(folder)
+        return store.get_file_info(path).type == fs.FileType.Directory
+    outside = shared_folder(spark, "kept")
+    durable(spark.range(3), "kept").count()
+    with Workspace(spark) as outer:
+        table = durable(spark.range(10), "table")
+        with Workspace(spark) as inner:
+            assert durable(spark.range(5), "table").count() == 5
+        assert len(inner.folders) == 1 and not there(inner.folders[0])
+        assert table.count() == table.count() == 10          # read again, as by a retried task
+        assert there(outer.folders[0])
+    assert not there(outer.folders[0]) and outside not in outer.folders
+    with pytest.raises(ZeroDivisionError), Workspace(spark) as failed:
+        durable(spark.range(2), "table")
+        1 / 0
+    assert not there(failed.folders[0])
