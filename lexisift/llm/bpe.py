@@ -10,7 +10,7 @@ from __future__ import annotations
 import base64
 import os
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,24 +27,48 @@ def default_vocabulary() -> str:
 
 
 class _Pieces(dict):
-    """Number of each piece; a new one is encoded when it is first asked for."""
+    """Number of each piece; a new one is encoded when it is first asked for.
 
-    def __init__(self, piece: Callable[[str], list[int]]):
+    With the byte length of every id, many new pieces are encoded as one text and cut apart
+    where the bytes of each end.
+    """
+
+    def __init__(self, piece: Callable[[str], list[int]], sizes: np.ndarray | None = None):
         super().__init__()
-        self.piece = piece
+        self.piece, self.sizes = piece, sizes
         self.starts, self.lengths, self.ids = array("q"), array("q"), array("I")
 
+    @staticmethod
+    def alone(text: str) -> bool:
+        """A piece that touches other white space cannot stand alone."""
+        return bool(text) and not text[0].isspace() and not text[-1].isspace()
+
     def __missing__(self, text: str) -> int:
-        # A piece that touches other white space cannot stand alone: length -1.
-        alone = text and not text[0].isspace() and not text[-1].isspace()
-        ids = self.piece(" " + text) if alone else ()
+        ids = self.piece(" " + text) if self.alone(text) else None
         self.starts.append(len(self.ids))
-        self.lengths.append(len(ids) if alone else -1)
-        self.ids.extend(ids)
-        number = len(self)
-        self[text] = number
+        self.lengths.append(-1 if ids is None else len(ids))
+        self.ids.extend(ids or ())
+        number = self[text] = len(self)
         return number
 
+    def learn(self, texts: Iterable[str]) -> None:
+        """Encode all pieces that are not known yet."""
+        new = [t for t in texts if t not in self and self.alone(t)]
+        if self.sizes is None or not new:
+            return
+        ids = np.array(self.piece(" " + " ".join(new)), np.uint32)
+        ends = np.cumsum(pc.binary_length(pa.array(new, pa.large_string())).to_numpy() + 1)
+        reached = self.sizes[ids].cumsum()
+        cuts = np.searchsorted(reached, ends)
+        if cuts[-1] >= len(ids) or (reached[cuts] != ends).any():
+            return                          # some id lies across two pieces: one by one, when asked for
+        cuts = np.concatenate([[0], cuts + 1])
+        low, base = len(self), len(self.ids)
+        self.starts.frombytes((cuts[:-1] + base).astype(np.int64).tobytes())
+        self.lengths.frombytes(np.diff(cuts).astype(np.int64).tobytes())
+        self.ids.frombytes(ids.tobytes())
+        self.update(zip(new, range(low, low + len(new))))
+
 
 class PieceEncoder:
     """Ids of texts under one tokenizer file.
@@ -66,9 +90,12 @@ class PieceEncoder:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
             self.piece = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table,
                                            special_tokens={}).encode_ordinary
+            self.sizes = np.zeros(max(table.values()) + 1, np.int64)
+            for token, rank in table.items():
+                self.sizes[rank] = len(token)
         else:
-            self.piece = self.whole
-        self.known = _Pieces(self.piece)
+            self.piece, self.sizes = self.whole, None
+        self.known = _Pieces(self.piece, self.sizes)
 
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -80,7 +107,7 @@ class PieceEncoder:
             return np.array(self.whole(text) if any(s in text for s in self.special) else self.piece(text), np.uint32)
         first, last, middle = pieces[0], pieces[-1], pieces[1:-1]
         if len(self.known) > REMEMBERED:
-            self.known = _Pieces(self.piece)
+            self.known = _Pieces(self.piece, self.sizes)
         known = self.known
         at = np.fromiter(map(known.__getitem__, middle), np.int64, len(middle))
         lengths = np.frombuffer(known.lengths, np.int64)[at]
@@ -112,10 +139,11 @@ class PieceEncoder:
         last = np.cumsum(counts) - 1
         first = last - counts + 1
         if len(self.known) > REMEMBERED:
-            self.known = _Pieces(self.piece)
-        spelled = values.dictionary.to_pylist()
+            self.known = _Pieces(self.piece, self.sizes)
+        spelled = values.dictionary.to_numpy(zero_copy_only=False)
+        self.known.learn(spelled)
         numbers = np.fromiter(map(self.known.__getitem__, spelled), np.int64, len(spelled))
-        places = values.indices.to_numpy().astype(np.int64)
+        places = values.indices.to_numpy()
         at = numbers[places]
         starts, lengths = (np.frombuffer(a, np.int64)[at] for a in (self.known.starts, self.known.lengths))
         known = len(self.known.ids)
@@ -145,7 +173,11 @@ class PieceEncoder:
                 put(b, self.piece(" " + spelled[places[b]]))
         ends = lengths.cumsum()
         ids = np.concatenate([np.frombuffer(self.known.ids, np.uint32, known), *own]) if own else np.zeros(0, np.uint32)
-        return ids[np.repeat(starts - ends + lengths, lengths) + np.arange(ends[-1] if len(ends) else 0)], ends[last]
+        total = int(ends[-1]) if len(ends) else 0
+        # Half the memory traffic where positions fit into 32 bits.
+        kind = np.int32 if max(total, len(ids)) < 2**31 else np.int64
+        shift = (starts - ends + lengths).astype(kind)
+        return ids[np.repeat(shift, lengths) + np.arange(total, dtype=kind)], ends[last]
 
 
 @lru_cache(maxsize=2)
