@@ -25,12 +25,11 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexisift.llm.tables import blocks_for, text_of
-from lexisift.session import durable
+from lexisift.session import durable, located
 
 SHARED_BYTES = 100               # payloads below this are always stored
 ARCHIVE_BYTES = 1_000_000_000    # compressed bytes after which a task begins another archive
@@ -54,11 +53,6 @@ _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 Place = tuple[str, int, int]
 
 
-def _located(uri: str) -> tuple[fs.FileSystem, str]:
-    uri = re.sub(r"^file:/(?!/)", "file:///", uri).replace("s3a://", "s3://", 1)
-    return fs.FileSystem.from_uri(uri)
-
-
 def safe_url(url: str) -> str:
     """The URL with blanks and control characters escaped, so that it fits into one line."""
     return _UNSAFE.sub(lambda m: f"%{ord(m[0]):02X}", url)
@@ -130,7 +124,7 @@ def parse_capture(member: bytes) -> tuple:
 
 def _archiver(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _located(folder)
+        store, root = located(folder)
         out, name = None, None
         for batch in batches:
             rows = []
@@ -172,7 +166,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     an id. Other columns are ignored. Payloads stay in the task that reads them unless so many
     are repeated that their digests have to be joined by a shuffle.
     """
-    store, root = _located(folder)
+    store, root = located(folder)
     store.create_dir(root, recursive=True)
     payload = text_of("html")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
@@ -200,7 +194,7 @@ class CaptureIndex:
 def _packer(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Sorted entries to one index file of compressed blocks, and its directory."""
-        store, root = _located(folder)
+        store, root = located(folder)
         name, out, directory, lines, first, last = f"index-{uuid.uuid4().hex}", None, [], [], None, None
 
         def flush():
@@ -239,7 +233,7 @@ def build_index(entries: DataFrame, folder: str) -> CaptureIndex:
     # By first and last entry: where many files begin with the same one, longer ranges come later.
     listed = sorted((json.loads(row.range), row.shard) for row in packed.collect())
     index = CaptureIndex(folder)
-    store, path = _located(index.shards)
+    store, path = located(index.shards)
     with store.open_output_stream(path, compression=None) as file:
         file.write(json.dumps(listed).encode())
     return index
@@ -249,7 +243,7 @@ class Lookup:
     """Binary search over index files, directory and block; reads only what it needs."""
 
     def __init__(self, index: CaptureIndex):
-        self._store, self._root = _located(index.folder)
+        self._store, self._root = located(index.folder)
         listed = json.loads(self._read("shards.json"))
         self._firsts, self._names = [tuple(first) for (first, _), _ in listed], [n for _, n in listed]
         self._kept: dict[str, OrderedDict] = {"directory": OrderedDict(), "block": OrderedDict()}
@@ -345,7 +339,7 @@ def _reader(folder: str, payloads: bool):
             yield parse_capture(data[at - offset:at - offset + length])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = _located(folder)
+        store, root = located(folder)
 
         def records(rows):
             found = list(members(store, root, rows))

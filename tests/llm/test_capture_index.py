@@ -129,7 +129,7 @@ def test_more_entries_of_one_capture_than_a_block_holds(spark):
     entries = spark.range(5000).select(F.lit("de,a)/").alias("key"), F.lit(7).cast("long").alias("page_id"),
                                        F.lit("w").alias("archive"), F.col("id").alias("offset"), F.lit(1).cast("long").alias("length"))
     folder = shared_folder(spark, "archives")
-    capture_index._located(folder)[0].create_dir(capture_index._located(folder)[1], recursive=True)
+    capture_index.located(folder)[0].create_dir(capture_index.located(folder)[1], recursive=True)
     index = build_index(entries, folder)
     requests = spark.createDataFrame([("http://a.de/", 7), ("http://a.de/", 8)], "url string, page_id long")
     assert look_up(index, requests).select("offset").distinct().count() == 5000
