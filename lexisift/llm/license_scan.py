@@ -181,15 +181,20 @@ def _passages(at: np.ndarray, pairs: np.ndarray, need: float, reach: int) -> Ite
             end = start
 
 
-def candidates(hashes: np.ndarray, parts: np.ndarray, wanted: str | None = None) -> list[tuple[str, int, int, float]]:
-    """``(family, first word, last word, share of it)`` of all passages that hold enough of a template, of one family if wanted."""
+def _hits(hashes: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words of the pairs, within a paragraph, that stand in a template, and places in the table of pairs."""
     if len(hashes) < 2:
-        return []
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     pairs = _pairs(hashes)
     at = np.flatnonzero(_MAYBE[pairs & np.uint64(BUCKETS - 1)] & (parts[:-1] == parts[1:]))
     place = np.minimum(np.searchsorted(_PAIRS, pairs[at]), len(_PAIRS) - 1)
     real = _PAIRS[place] == pairs[at]
-    at, place = at[real], place[real]
+    return at[real], place[real]
+
+
+def candidates(hashes: np.ndarray, parts: np.ndarray, wanted: str | None = None) -> list[tuple[str, int, int, float]]:
+    """``(family, first word, last word, share of it)`` of all passages that hold enough of a template, of one family if wanted."""
+    at, place = _hits(hashes, parts)
     out = []
     for (family, length, _), held in zip(_LENGTHS, _HELD, strict=True):
         if wanted not in (None, family):
@@ -309,7 +314,7 @@ def train(documents: DataFrame) -> Classifier:
     kept_out, notices = notices[::3], [n for k, n in enumerate(notices) if k % 3]
     rows = [(float(k), _vector(v)) for k, v in notices]
     rows += [(float(len(families) - 1), _vector(w)) for w in [*learned, _words("no words of a license at all")]]
-    model = LogisticRegression(regParam=0.001, maxIter=40, family="multinomial").fit(
+    model = LogisticRegression(regParam=0.001, maxIter=30, family="multinomial").fit(
         documents.sparkSession.createDataFrame(rows, ["label", "features"]))
     found = Classifier(families, model.coefficientMatrix.toArray().T.copy(), model.interceptVector.toArray())
     false, true = ([1 - found.probabilities(w)[-1] for w in side] for side in (held, [v for _, v in kept_out]))
@@ -322,7 +327,13 @@ def license_spans(text: str, classifier: Classifier) -> list[tuple[str, int, int
     words, lines, parts = _paragraphs(text)
     hashes = _word_hashes(words)
     spans = set()
-    for family, low, high in classifier.passages(hashes, parts):
+    # A paragraph without a pair of any template cannot be confirmed, so its windows need no score.
+    own = np.isin(parts, parts[:-1][_hits(hashes, parts)[0]])
+    passages = []
+    if own.any():
+        at = np.flatnonzero(own)
+        passages = [(f, int(at[low]), int(at[high - 1]) + 1) for f, low, high in classifier.passages(hashes[at], parts[at])]
+    for family, low, high in passages:
         # The ends of a notice may lie outside the windows that count.
         margin = SIZES[-1][0]
         begin = max(low - margin, int(np.searchsorted(parts, parts[low])))
