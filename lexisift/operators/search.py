@@ -24,6 +24,7 @@ from lexisift.operators.evaluate import evaluator
 from lexisift.session import durable
 
 HELD_OUT = "held_out_part"
+MOST_FITS = 64    # threads of the driver that wait for fits
 
 Point = dict[Param, object]
 
@@ -49,8 +50,9 @@ class SearchResult:
 
 
 def parallel_fits(spark: SparkSession) -> int:
-    """Fits that keep the cluster busy while each is a chain of short jobs: one per core, at least four."""
-    return max(4, spark.sparkContext.defaultParallelism)
+    """Fits that keep the cluster busy: each is a chain of short jobs that mostly waits for
+    the scheduler, so there are four to a core, at least four and at most ``MOST_FITS``."""
+    return max(4, min(MOST_FITS, 4 * spark.sparkContext.defaultParallelism))
 
 
 def side_by_side(spark: SparkSession, tasks: Sequence[Callable], parallelism: int | None = None) -> list:

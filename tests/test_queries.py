@@ -12,6 +12,9 @@ import __spark_entry__ as contract
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
 SQL = contract.oracle_sql()
+# Whole grid searches, of up to some minutes each; ``test_classify`` holds the search itself
+# against Spark's. TEST_SEARCHES=1 runs them here as well.
+SEARCHES = {"cv_grid", "best_params", "tuned_vs_base", "tvs_grid", "light_vs_heavy", "tvs_text_grid", "draft_search"}
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +36,8 @@ def comparable(table):
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query(spark, tables, name):
+    if name in SEARCHES and not os.environ.get("TEST_SEARCHES"):
+        pytest.skip("set TEST_SEARCHES=1")
     result = contract.queries()[name](spark, FOLDER).toArrow()
     if name not in SQL:
         assert result.num_rows > 0
