@@ -120,6 +120,7 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
 _LENGTHS = [(family, len(_words(t)), _pairs(_word_hashes(_words(t)))) for family, texts in TEMPLATES.items() for t in texts]
 _PAIRS = np.unique(np.concatenate([pairs for _, _, pairs in _LENGTHS]))
 _HELD = np.array([np.isin(_PAIRS, pairs) for _, _, pairs in _LENGTHS])
+_NEEDED = CONFIRMED * _HELD.sum(axis=1)
 _MAYBE = np.zeros(BUCKETS, bool)
 _MAYBE[_PAIRS & np.uint64(BUCKETS - 1)] = True
 
@@ -327,8 +328,12 @@ def license_spans(text: str, classifier: Classifier) -> list[tuple[str, int, int
     words, lines, parts = _paragraphs(text)
     hashes = _word_hashes(words)
     spans = set()
-    # A paragraph without a pair of any template cannot be confirmed, so its windows need no score.
-    own = np.isin(parts, parts[:-1][_hits(hashes, parts)[0]])
+    # Without enough pairs of some template, or in a paragraph without any, nothing can be confirmed,
+    # so the windows need no score.
+    at, place = _hits(hashes, parts)
+    if not (_HELD[:, np.unique(place)].sum(axis=1) >= _NEEDED).any():
+        return []
+    own = np.isin(parts, parts[at])
     passages = []
     if own.any():
         at = np.flatnonzero(own)
