@@ -57,9 +57,9 @@ def test_query_against_sql(spark, name):
     connection = duckdb.connect()
     for file in Path(FOLDER).glob("*.parquet"):
         connection.execute(f"CREATE VIEW {file.stem} AS SELECT * FROM '{file}'")
-    found = contract.queries()[name](spark, FOLDER).toPandas()
-    expected = connection.execute(contract.oracle_sql()[name]).df()
-    columns = sorted(found.columns)
-    assert columns == sorted(expected.columns)
-    assert sorted(map(str, found[columns].itertuples(index=False, name=None))) == sorted(
-        map(str, expected[columns].itertuples(index=False, name=None)))
+    found = contract.queries()[name](spark, FOLDER).toArrow()
+    expected = connection.execute(contract.oracle_sql()[name]).to_arrow_table()
+    columns = sorted(found.column_names)
+    assert columns == sorted(expected.column_names)
+    rows = [sorted(str([r[c] for c in columns]) for r in table.to_pylist()) for table in (found, expected)]
+    assert rows[0] == rows[1]
