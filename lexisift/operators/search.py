@@ -3,7 +3,8 @@
 The grid is a tree: points that agree in the parameters of the first stages share those
 stages. Per part of the rows each stage is fitted once for every distinct setting of it and
 the stages before it, the vectors that the last stage needs are written, and the last
-stage is then fitted for all points side by side.
+stage is then fitted for all points side by side: linear SVMs in common passes over the
+vectors (``together``), others each by its own jobs.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from lexisift.operators.evaluate import evaluator
+from lexisift.operators.together import fit_together, shares_passes
 from lexisift.session import durable
 
 HELD_OUT = "held_out_part"
@@ -84,6 +86,8 @@ def _inputs(stage) -> list[str]:
 
 
 def _fitted(stage, rows: DataFrame, own: Point) -> Transformer:
+    if shares_passes(stage):
+        return fit_together([stage.copy(own)], rows)[0]
     return stage.fit(rows, own) if isinstance(stage, Estimator) else stage.copy(own)
 
 
@@ -158,20 +162,29 @@ def search(estimator: Estimator, grid: list[Point], rows: DataFrame, parts: Sequ
     def marked(i: int) -> DataFrame:
         return rows.withColumn(HELD_OUT, F.col(names[i])).drop(*names)
 
+    last = tree.stages[-1]
     leaves = [leaf for found in side_by_side(spark, [
         lambda i=i: tree.leaves(i, marked(i), list(range(len(grid)))) for i in range(len(parts))], parallelism) for leaf in found]
-    last = tree.stages[-1]
     measured = evaluator(label, metric=metric)
 
-    def measure(leaf: _Leaf, point: int) -> tuple[int, int, float]:
-        model = _fitted(last, leaf.frame.where(f"not {HELD_OUT}"), _own(last, grid[point]))
+    def fitted(leaf: _Leaf) -> list[Callable[[], Transformer]]:
+        """The last stage fitted for each point of the leaf, in common passes where it can be."""
+        outside = leaf.frame.where(f"not {HELD_OUT}")
+        own = [_own(last, grid[point]) for point in leaf.points]
+        if shares_passes(last):
+            return [lambda model=model: model for model in fit_together([last.copy(p) for p in own], outside)]
+        return [lambda p=p: _fitted(last, outside, p) for p in own]
+
+    def measure(leaf: _Leaf, point: int, model: Callable[[], Transformer]) -> tuple[int, int, float]:
         held_out = leaf.frame.where(HELD_OUT)
-        predictions = predict(model, held_out) if predict else model.transform(held_out)
+        predictions = predict(model(), held_out) if predict else model().transform(held_out)
         return point, leaf.part, measured.evaluate(predictions.select(label, "prediction"))
 
+    models = side_by_side(spark, [lambda leaf=leaf: fitted(leaf) for leaf in leaves], parallelism)
     metrics = [[0.0] * len(parts) for _ in grid]
     for point, part, value in side_by_side(spark, [
-            lambda leaf=leaf, point=point: measure(leaf, point) for leaf in leaves for point in leaf.points], parallelism):
+            lambda leaf=leaf, point=point, model=model: measure(leaf, point, model)
+            for leaf, own in zip(leaves, models) for point, model in zip(leaf.points, own)], parallelism):
         metrics[point][part] = value
     best = SearchResult(grid, metrics, None, tree.fits).best
     return SearchResult(grid, metrics, _refit(stages, indexers, tree, grid[best], rows.drop(*names)), tree.fits)
