@@ -28,6 +28,8 @@ VALUE_PLACES = 12
 LOGARITHM_PLACES = 9
 # Fixed value: p-values below it are equal, as they are where they are one minus a double.
 LEAST_P = 2.0**-53
+# Fixed value: with more categories than these, cells are rows instead of columns.
+MOST_COLUMNS = 16
 
 
 def log_upper_gamma(shape: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -96,9 +98,43 @@ def contingency_statistics(entries: DataFrame, rows: DataFrame, feature: str, va
     """
     per_category = (rows.where(F.col(category).isNotNull()).groupBy(F.col(category).alias("category"))
                     .agg(F.count(F.lit(1)).alias("c")))
-    totals = per_category.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("labels"))
-    n = totals.select("n").scalar().cast("double")
-    labels = totals.select("labels").scalar()
+    few = [(row.category, row.c) for row in per_category.limit(MOST_COLUMNS + 1).collect()]
+    if 0 < len(few) <= MOST_COLUMNS:
+        n, labels = F.lit(float(sum(c for _, c in few))), F.lit(len(few))
+        lines = _by_columns(entries, few, feature, value, category)
+    else:
+        totals = per_category.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("labels"))
+        n, labels = totals.select("n").scalar().cast("double"), totals.select("labels").scalar()
+        lines = _by_cells(entries, per_category, feature, value, category)
+    df = F.col("df")
+    absent = F.when(n > df, (n - 2.0 * df + F.col("z")) / (n - df)).otherwise(0.0)
+    count = F.col("lines") + F.when(n > df, 1).otherwise(0)
+    return lines.select(
+        F.col("feature").alias(feature), df.cast("bigint").alias("df"),
+        (n * (F.col("present") + absent - 1.0)).alias("statistic"),
+        ((count - 1) * (labels - 1)).cast("bigint").alias("degrees"))
+
+
+def _by_columns(entries: DataFrame, categories: list[tuple], feature: str, value: str, category: str) -> DataFrame:
+    """``(feature, present, lines, df, z)``, each line of a table one row with a column per category.
+
+    So the entries are shuffled once, by feature and value, after lines that occur often are combined.
+    """
+    names = [f"o{k}" for k in range(len(categories))]
+    observed = [F.count(F.when(F.col(category) == F.lit(label), 1)).cast("double").alias(name)
+                for name, (label, _) in zip(names, categories)]
+    table = (entries.where(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("feature"), F.col(value).alias("value"))
+             .agg(*observed))
+    total = sum((F.col(name) for name in names), F.lit(0.0))
+    weighted = sum((F.col(name) * F.col(name) / F.lit(float(c)) for name, (_, c) in zip(names, categories)), F.lit(0.0))
+    return (table.where(total > 0).groupBy("feature")
+            .agg(F.sum(weighted / total).alias("present"), F.count(F.lit(1)).alias("lines"),
+                 *[F.sum(name).alias(name) for name in names])
+            .select("feature", "present", "lines", total.alias("df"), weighted.alias("z")))
+
+
+def _by_cells(entries: DataFrame, per_category: DataFrame, feature: str, value: str, category: str) -> DataFrame:
+    """The same for any number of categories, each observed cell one row."""
     cells = (entries.groupBy(F.col(feature).alias("feature"), F.col(value).alias("value"), F.col(category).alias("category"))
              .agg(F.count(F.lit(1)).alias("o")).join(per_category, "category"))
     o, c = F.col("o").cast("double"), F.col("c").cast("double")
@@ -108,13 +144,7 @@ def contingency_statistics(entries: DataFrame, rows: DataFrame, feature: str, va
     by_category = (cells.groupBy("feature", "category").agg(F.sum(o).alias("p"), F.max(c).alias("c"))
                    .groupBy("feature").agg(F.sum("p").alias("df"),
                                            F.sum(F.col("p") * F.col("p") / F.col("c")).alias("z")))
-    df = F.col("df")
-    absent = F.when(n > df, (n - 2.0 * df + F.col("z")) / (n - df)).otherwise(0.0)
-    lines = F.col("lines") + F.when(n > df, 1).otherwise(0)
-    return by_value.join(by_category, "feature").select(
-        F.col("feature").alias(feature), df.cast("bigint").alias("df"),
-        (n * (F.col("present") + absent - 1.0)).alias("statistic"),
-        ((lines - 1) * (labels - 1)).cast("bigint").alias("degrees"))
+    return by_value.join(by_category, "feature")
 
 
 def vector_entries(rows: DataFrame, vector: str, keep: list[str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from lexisift.operators import features as X
+from lexisift.operators import selection
 from lexisift.operators.selection import log_upper_gamma
 from lexisift.operators.tokens import term_frequencies, with_tokens
 from lexisift.operators.vocabulary import (common_terms, merged_vocabulary, overlap,
@@ -213,3 +214,19 @@ def test_label_missing_from_the_fitting_rows(spark):
     fitted = X.fit_features(rows, spec, keep=["doc_id"], fit_on=F.col("category") != "z")
     assert sorted(fitted.labels) == ["x", "y", "z"]
     assert {r.category: r.label for r in fitted.frame.collect()}.keys() == {"x", "y", "z"}
+
+
+def test_lines_of_few_categories_are_shuffled_once(spark, monkeypatch):
+    """Columns per category give what cells as rows give, with one exchange by value and one by feature."""
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), (None,)], "category string")
+    entries = spark.createDataFrame(
+        [(1, 0.5, "a"), (1, 0.5, "b"), (1, 0.25, "a"), (2, None, "c"), (2, 1.0, None), (3, 1.0, None),
+         (None, 1.0, "a"), (4, 1.0, "b"), (4, 1.0, "b"), (5, 2.0, "d")], "term int, n double, category string")
+    found, plans = [], []
+    for most in (16, 2):
+        monkeypatch.setattr(selection, "MOST_COLUMNS", most)
+        statistics = selection.contingency_statistics(entries, rows, "term", "n")
+        found.append({r.term: (r.df, r.degrees, round(r.statistic, 9)) for r in statistics.collect()})
+        plans.append(statistics._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning"))
+    assert found[0] == found[1] and set(found[0]) == {1, 2, 4}
+    assert plans[0] == 2 < plans[1]
