@@ -56,6 +56,8 @@ REGEX_PATTERN = char_class(UNICODE_WHITESPACE, UNICODE_DIGITS, escaped(DELIMITER
 REPLACE_PATTERN = char_class(ASCII_DIGITS, escaped(DELIMITERS_WITHOUT_DOLLAR)) + "+"
 ML_PATTERN_LITERAL = char_class(BLANK_AND_TAB, ASCII_DIGITS, escaped(DELIMITERS)) + "+"
 ML_PATTERN = char_class(JAVA_WHITESPACE, ASCII_DIGITS, escaped(DELIMITERS)) + "+"
+# The characters of those two classes.
+ML_DELIMITERS = {ML_PATTERN_LITERAL: "\t 0123456789" + DELIMITERS, ML_PATTERN: "\t\n\x0b\f\r 0123456789" + DELIMITERS}
 
 # A run of word characters and apostrophes, optionally hyphenated. Possessive
 # repetition keeps the matcher iterative, so a chain of any length is safe.

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
+from lexisift.operators.arrow_terms import applied
 from lexisift.operators.selection import (ContingencySelector, ContingencySelectorModel, contingency_statistics,
                                           vector_entries, with_log_p)
 from lexisift.operators.vectorize import RankedVectorizer
@@ -107,7 +108,7 @@ def fit_features(documents: DataFrame, spec: FeatureSpec = FeatureSpec(),
                  keep: Sequence[str] = (), fit_on: Column | None = None) -> Features:
     """Fit all feature stages and transform ``(keep..., category, text)`` documents.
 
-    The text is read and tokenized once. Its terms are written to the shared folder, the
+    The text is read and tokenized once. Its terms and their counts are written to the shared folder, the
     vocabulary and the sparse count vectors are made from those, and everything fitted later
     reads the vectors. ``fit_on`` limits fitting to some rows, such as a training split;
     without it the stages see all rows.
@@ -116,9 +117,9 @@ def fit_features(documents: DataFrame, spec: FeatureSpec = FeatureSpec(),
         return df if fit_on is None else df.filter(fit_on)
 
     tokenizing = PipelineModel(token_stages(spec))
-    tokens = durable(tokenizing.transform(documents).select(*keep, "category", "clean_tokens"), "tokens")
+    tokens = durable(applied(tokenizing.stages, documents, counted=True).select(*keep, "category", "clean_tokens"), "tokens")
     vectorizing = vectorizer_stage(spec).fit(fitting_rows(tokens))
-    counted = durable(vectorizing.transform(tokens).select(*keep, "category", "tf"), "tf")
+    counted = durable(applied([vectorizing], tokens).select(*keep, "category", "tf"), "tf")
     # Labels come from all rows: a category that the fitting rows lack is a label all the same.
     stages = [s.fit(counted) if isinstance(s, StringIndexer) else s for s in weight_stages(spec)]
     weighting = Pipeline(stages=stages).fit(fitting_rows(counted))

@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from lexisift.operators.arrow_terms import applied
 from lexisift.operators.evaluate import evaluator
 from lexisift.operators.together import fit_together, shares_passes
+from lexisift.operators.vectorize import RankedVectorizer
 from lexisift.session import durable
 
 HELD_OUT = "held_out_part"
@@ -117,7 +119,7 @@ class _Tree:
             if isinstance(stage, Estimator):
                 name = type(stage).__name__
                 self.fits[name] = self.fits.get(name, 0) + 1
-            after = model.transform(frame)
+            after = applied([model], frame)
             if at in self.written:
                 rest = {c for s in self.stages[at + 1:] for c in _inputs(s)}
                 after = durable(after.select([c for c in after.columns if c in rest | {HELD_OUT}]), "vectors", rebalance=True)
@@ -150,10 +152,14 @@ def search(estimator: Estimator, grid: list[Point], rows: DataFrame, parts: Sequ
     for model in indexers.values():
         rows = model.transform(rows)
     tree = _Tree([s for i, s in enumerate(stages) if i not in indexers], grid)
+    common = []
     while len(tree.stages) > 1 and not isinstance(tree.stages[0], Estimator) and not any(
             _own(tree.stages[0], p) for p in grid):
         # What needs no fitting and is no parameter is the same for all parts.
-        rows, tree = tree.stages[0].transform(rows), _Tree(tree.stages[1:], grid)
+        common, tree = [*common, tree.stages[0]], _Tree(tree.stages[1:], grid)
+    words = common[-1].getOutputCol() if common and common[-1].hasParam("outputCol") else None
+    readers = [s for s in tree.stages if words in _inputs(s)]
+    rows = applied(common, rows, counted=bool(readers) and all(isinstance(s, RankedVectorizer) for s in readers))
     needed = {c for s in tree.stages for c in _inputs(s)}
     marks = [F.coalesce(part, F.lit(False)).alias(f"{HELD_OUT}_{i}") for i, part in enumerate(parts)]
     rows = durable(rows.select(*[c for c in rows.columns if c in needed], *marks), "search_rows", rebalance=True)
@@ -196,7 +202,7 @@ def _refit(stages: list, indexers: dict[int, Model], tree: _Tree, point: Point,
     for at, stage in enumerate(tree.stages):
         model = fitted[stage.uid] = _fitted(stage, rows, _own(stage, point))
         if at < len(tree.stages) - 1:
-            rows = model.transform(rows)
+            rows = applied([model], rows)
             if at in tree.written:
                 rest = {c for s in tree.stages[at + 1:] for c in _inputs(s)}
                 rows = durable(rows.select([c for c in rows.columns if c in rest]), "vectors", rebalance=True)

@@ -9,10 +9,11 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
-from lexisift.operators.tokens import term_frequencies
-from lexisift.operators.vocabulary import document_frequencies, most_frequent
+from lexisift.operators.arrow_terms import term_totals
+from lexisift.operators.vocabulary import most_frequent
 from lexisift.session import durable
 
 
@@ -39,8 +40,7 @@ class RankedVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadab
     def _fit(self, dataset: DataFrame) -> CountVectorizerModel:
         least = self.getOrDefault(self.minDF)
         least = least if least >= 1 else least * dataset.count()
-        frequencies = term_frequencies(dataset, [], self.getInputCol(), min_length=0)
-        counted = durable(document_frequencies(frequencies, least), "vocabulary")
+        counted = durable(term_totals(dataset, self.getInputCol()).where(F.col("df") >= least), "vocabulary")
         ranked = most_frequent(counted, self.getOrDefault(self.vocabSize))
         terms = [row.term for row in sorted(ranked.collect(), key=lambda row: (-row.cf, row.term))]
         return CountVectorizerModel.from_vocabulary(terms, inputCol=self.getInputCol(), outputCol=self.getOutputCol())
