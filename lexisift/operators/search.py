@@ -3,8 +3,8 @@
 The grid is a tree: points that agree in the parameters of the first stages share those
 stages. Per part of the rows each stage is fitted once for every distinct setting of it and
 the stages before it, the vectors that the last stage needs are written, and the last
-stage is then fitted for all points side by side: linear SVMs in common passes over the
-vectors (``together``), others each by its own jobs.
+stage is then fitted for all points side by side: linear SVMs are fitted and measured in common
+passes over the vectors (``together``), others each by its own jobs.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.util import inheritable_thread_target
 
 from lexisift.operators.arrow_terms import applied
 from lexisift.operators.evaluate import evaluator
-from lexisift.operators.together import fit_together, shares_passes
+from lexisift.operators.scoring import predicted
+from lexisift.operators.together import confusion_counts, fit_together, shares_passes, weights_together
 from lexisift.operators.vectorize import RankedVectorizer
 from lexisift.session import durable
 
@@ -173,24 +174,28 @@ def search(estimator: Estimator, grid: list[Point], rows: DataFrame, parts: Sequ
         lambda i=i: tree.leaves(i, marked(i), list(range(len(grid)))) for i in range(len(parts))], parallelism) for leaf in found]
     measured = evaluator(label, metric=metric)
 
-    def fitted(leaf: _Leaf) -> list[Callable[[], Transformer]]:
-        """The last stage fitted for each point of the leaf, in common passes where it can be."""
-        outside = leaf.frame.where(f"not {HELD_OUT}")
-        own = [_own(last, grid[point]) for point in leaf.points]
-        if shares_passes(last):
-            return [lambda model=model: model for model in fit_together([last.copy(p) for p in own], outside)]
-        return [lambda p=p: _fitted(last, outside, p) for p in own]
-
-    def measure(leaf: _Leaf, point: int, model: Callable[[], Transformer]) -> tuple[int, int, float]:
-        held_out = leaf.frame.where(HELD_OUT)
-        predictions = predict(model(), held_out) if predict else model().transform(held_out)
-        return point, leaf.part, measured.evaluate(predictions.select(label, "prediction"))
-
-    models = side_by_side(spark, [lambda leaf=leaf: fitted(leaf) for leaf in leaves], parallelism)
+    def counted(leaf: _Leaf) -> list[list[tuple]]:
+        """The last stage fitted and applied for all points of the leaf, in common passes."""
+        fitted = weights_together([last.copy(_own(last, grid[point])) for point in leaf.points], leaf.frame.where(f"not {HELD_OUT}"))
+        return confusion_counts(leaf.frame.where(HELD_OUT), last.getFeaturesCol(), label, fitted)
+
+    def of_counts(counts: list[tuple]) -> float:
+        pairs = spark.createDataFrame(counts, f"`{label}` double, prediction double, n double").coalesce(1)
+        return measured.copy({measured.weightCol: "n"}).evaluate(pairs)
+
+    def of_rows(leaf: _Leaf, point: int) -> float:
+        model, held_out = _fitted(last, leaf.frame.where(f"not {HELD_OUT}"), _own(last, grid[point])), leaf.frame.where(HELD_OUT)
+        predictions = predict(model, held_out) if predict else model.transform(held_out)
+        return measured.evaluate(predictions.select(label, "prediction"))
+
+    at = [(leaf.part, point) for leaf in leaves for point in leaf.points]
+    if shares_passes(last) and predict in (None, predicted):
+        found = side_by_side(spark, [lambda leaf=leaf: counted(leaf) for leaf in leaves], parallelism)
+        values = [lambda counts=counts: of_counts(counts) for of_leaf in found for counts in of_leaf]
+    else:
+        values = [lambda leaf=leaf, point=point: of_rows(leaf, point) for leaf in leaves for point in leaf.points]
     metrics = [[0.0] * len(parts) for _ in grid]
-    for point, part, value in side_by_side(spark, [
-            lambda leaf=leaf, point=point, model=model: measure(leaf, point, model)
-            for leaf, own in zip(leaves, models) for point, model in zip(leaf.points, own)], parallelism):
+    for (part, point), value in zip(at, side_by_side(spark, values, parallelism)):
         metrics[point][part] = value
     best = SearchResult(grid, metrics, None, tree.fits).best
     return SearchResult(grid, metrics, _refit(stages, indexers, tree, grid[best], rows.drop(*names)), tree.fits)

@@ -11,9 +11,12 @@ from __future__ import annotations
 
 import pickle
 from collections.abc import Generator, Iterator, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, OneVsRest, OneVsRestModel
 from pyspark.ml.linalg import Vectors
@@ -25,8 +28,12 @@ from pyspark.sql import functions as F
 
 from lexisift.session import spread
 
-# Cells of a block, and what ``LinearSVC`` passes to its optimizer.
-CELLS = 1 << 20
+# Cells of a block, columns of weights in a pass that predicts, bytes of partial sums that the
+# driver adds up itself, and what ``LinearSVC`` passes to its optimizer. A short block has fewer columns,
+# and stays in the processor's cache.
+CELLS = 1 << 18
+COLUMNS = 256
+DRIVER_BYTES = 1 << 25
 MEMORY = 10
 VALUES_KEPT = 20
 SEARCH_STEPS = 20
@@ -142,8 +149,12 @@ def minimized(start: np.ndarray, iterations: Sequence[int], tolerance: float) ->
 
 
 def _packed(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of rows: labels, the columns that occur, and the places and values of entries in those."""
+    """Blocks of rows: labels, the columns that occur, and the places and values of entries in those.
+
+    Rows go by label, as those of one label share more columns, whose entries are all that is multiplied.
+    """
     for batch in batches:
+        batch = batch.take(pc.sort_indices(batch.column(0)))
         label, indices, values = (batch.column(i) for i in range(3))
         if values.null_count or not np.isfinite(values.flatten().to_numpy(zero_copy_only=False)).all():
             raise ValueError("vectors must not be null, or hold values that are not finite")
@@ -157,17 +168,29 @@ def _packed(batches: Iterator[pa.RecordBatch], features: int) -> Iterator[pa.Rec
             part = slice(at[begin], at[end])
             present, place = np.unique(column[part], return_inverse=True)
             row = np.repeat(np.arange(end - begin), np.diff(at[begin:end + 1]))
-            block = (labels[begin:end], present, (row * len(present) + place).astype(np.int64), value[part].copy())
+            block = (labels[begin:end], present, (row * len(present) + place).astype(np.int32), value[part].copy())
             yield pa.record_batch({"block": pa.array([pickle.dumps(block, 5)], pa.binary())})
             begin = end
 
 
-def packed(rows: DataFrame, features_column: str, label: str, features: int) -> RDD:
-    """The rows as blocks, kept by the executors."""
+def _entries(rows: DataFrame, features_column: str, label: str) -> DataFrame:
     v = F.unwrap_udt(features_column)
     entries = rows.select(F.col(label).cast("double").alias("label"), v.alias("v")).select(
         "label", F.coalesce("v.indices", F.transform("v.values", lambda _, i: i)).alias("indices"), F.col("v.values").alias("values"))
-    blocks = spread(entries, tasks_per_core=1).mapInArrow(lambda batches: _packed(batches, features), "block binary")
+    return spread(entries, tasks_per_core=1)
+
+
+def _dense(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, the columns that occur, and the rows in those columns."""
+    labels, present, place, value = pickle.loads(block)
+    dense = np.zeros(len(labels) * len(present))
+    dense[place] = value
+    return labels, present, dense.reshape(len(labels), len(present))
+
+
+def packed(rows: DataFrame, features_column: str, label: str, features: int) -> RDD:
+    """The rows as blocks, kept by the executors."""
+    blocks = _entries(rows, features_column, label).mapInArrow(lambda batches: _packed(batches, features), "block binary")
     return blocks.rdd.map(lambda row: bytes(row.block)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
@@ -182,10 +205,7 @@ def hinge_sums(blocks: RDD, weights: np.ndarray, intercepts: np.ndarray, classes
         weights, intercepts, classes = shared.value
         losses, slopes, by_weight = np.zeros(len(classes)), np.zeros(len(classes)), np.zeros(weights.shape)
         for block in found:
-            labels, present, place, value = pickle.loads(block)
-            dense = np.zeros(len(labels) * len(present))
-            dense[place] = value
-            dense = dense.reshape(len(labels), len(present))
+            labels, present, dense = _dense(block)
             side = np.where(labels[:, None] == classes, 1.0, -1.0)
             slack = 1.0 - side * (dense @ weights[present] + intercepts)
             slope = np.where(slack > 0, -side, 0.0)
@@ -194,8 +214,14 @@ def hinge_sums(blocks: RDD, weights: np.ndarray, intercepts: np.ndarray, classes
             by_weight[present] += dense.T @ slope
         yield [losses, slopes, by_weight]
 
+    def added(a: list, b: list) -> list:
+        return [x + y for x, y in zip(a, b)]
+
     try:
-        return tuple(blocks.mapPartitions(summed).treeReduce(lambda a, b: [x + y for x, y in zip(a, b)]))
+        sums = blocks.mapPartitions(summed)
+        # A second stage costs more than the driver's sum of a few parts.
+        few = weights.nbytes * blocks.getNumPartitions() <= DRIVER_BYTES
+        return tuple(reduce(added, sums.collect()) if few else sums.treeReduce(added))
     finally:
         shared.destroy()
 
@@ -213,8 +239,23 @@ def _binary_model(stage: OneVsRest, svm: LinearSVC, k: int, weights: np.ndarray,
     return svm.copy(own)._copyValues(model)
 
 
+@dataclass(frozen=True)
+class Weights:
+    """A fitted stage: a column of weights and an intercept per class."""
+
+    columns: np.ndarray
+    intercepts: np.ndarray
+
+
 def fit_together(stages: Sequence[OneVsRest], rows: DataFrame) -> list[OneVsRestModel]:
-    """Each stage fitted on the same rows; all read the same columns, see ``shares_passes``.
+    """Each stage fitted on the same rows; all read the same columns, see ``shares_passes``."""
+    return [stage._copyValues(OneVsRestModel(models=[
+        _binary_model(stage, stage.getClassifier(), k, found.columns[:, k], found.intercepts[k]) for k in range(len(found.intercepts))]))
+        for stage, found in zip(stages, weights_together(stages, rows))]
+
+
+def weights_together(stages: Sequence[OneVsRest], rows: DataFrame) -> list[Weights]:
+    """The weights that ``fit_together`` gives its models.
 
     Fits that differ in the number of iterations only are one fit, looked at on its way. The
     driver sees weights and gradients, ten pairs of each fit at most.
@@ -270,6 +311,42 @@ def fit_together(stages: Sequence[OneVsRest], rows: DataFrame) -> list[OneVsRest
                     ended[fit] = end.value
     finally:
         blocks.unpersist()
-    return [stage._copyValues(OneVsRestModel(models=[
-        _binary_model(stage, svm, k, *raw(ended[setting, k][svm.getMaxIter()], setting)) for k in range(classes)]))
-        for stage, svm, setting in zip(stages, svms, settings)]
+    found = []
+    for svm, setting in zip(svms, settings):
+        columns, intercepts = zip(*[raw(ended[setting, k][svm.getMaxIter()], setting) for k in range(classes)])
+        found.append(Weights(np.stack(columns, axis=1), np.array(intercepts, float)))
+    return found
+
+
+def confusion_counts(rows: DataFrame, features_column: str, label: str, fitted: Sequence[Weights]) -> list[list[tuple]]:
+    """Per fitted stage the numbers of rows, ``(label, prediction, n)``, in common passes over the rows.
+
+    The prediction is the class with the largest margin, of equals the first.
+    """
+    classes = max(len(found.intercepts) for found in fitted)
+    step, counts = max(1, COLUMNS // classes), [[] for _ in fitted]
+    for begin in range(0, len(fitted), step):
+        part = fitted[begin:begin + step]
+        shared = rows.sparkSession.sparkContext.broadcast(
+            (np.concatenate([found.columns for found in part], axis=1), np.concatenate([found.intercepts for found in part])))
+
+        def counted(batches: Iterator[pa.RecordBatch], shared=shared, points=len(part)) -> Iterator[pa.RecordBatch]:
+            weights, intercepts = shared.value
+            for block in _packed(batches, len(weights)):
+                labels, present, dense = _dense(block.column(0)[0].as_py())
+                if np.isnan(labels).any():
+                    raise ValueError("labels must not be null")
+                best = (dense @ weights[present] + intercepts).reshape(len(labels), points, -1).argmax(axis=2)
+                for point in range(points):
+                    pairs, n = np.unique(np.stack([labels, best[:, point]]), axis=1, return_counts=True)
+                    yield pa.record_batch({"point": pa.array(np.full(len(n), point), pa.int32()), "label": pa.array(pairs[0]),
+                                           "prediction": pa.array(pairs[1]), "n": pa.array(n, pa.int64())})
+
+        try:
+            sums = (_entries(rows, features_column, label).mapInArrow(counted, "point int, label double, prediction double, n bigint")
+                    .groupBy("point", "label", "prediction").agg(F.sum("n").alias("n")).collect())
+        finally:
+            shared.destroy()
+        for row in sums:
+            counts[begin + row.point].append((row.label, row.prediction, float(row.n)))
+    return counts

@@ -8,7 +8,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexisift.functions import constants as K
@@ -43,4 +43,16 @@ class RankedVectorizer(Estimator, HasInputCol, HasOutputCol, DefaultParamsReadab
         counted = durable(term_totals(dataset, self.getInputCol()).where(F.col("df") >= least), "vocabulary")
         ranked = most_frequent(counted, self.getOrDefault(self.vocabSize))
         terms = [row.term for row in sorted(ranked.collect(), key=lambda row: (-row.cf, row.term))]
-        return CountVectorizerModel.from_vocabulary(terms, inputCol=self.getInputCol(), outputCol=self.getOutputCol())
+        return vectorizer_model(dataset.sparkSession, terms, self.getInputCol(), self.getOutputCol())
+
+
+def vectorizer_model(spark: SparkSession, terms: list[str], input_column: str, output: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary``, which calls the JVM for every term, in one call."""
+    joined = "".join(terms)
+    mark = next((c for c in map(chr, range(32)) if c not in joined), None)
+    if not terms or mark is None:
+        return CountVectorizerModel.from_vocabulary(terms, inputCol=input_column, outputCol=output)
+    pattern = spark.sparkContext._jvm.java.util.regex.Pattern
+    model = CountVectorizerModel._create_from_java_class(
+        "org.apache.spark.ml.feature.CountVectorizerModel", pattern.compile(mark, pattern.LITERAL).split(mark.join(terms), -1))
+    return model.setInputCol(input_column).setOutputCol(output)._set(vocabSize=len(terms))

@@ -3,11 +3,13 @@ import random
 import pyarrow as pa
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import functions as F
 
 from lexisift.operators import arrow_terms as A
 from lexisift.operators import features as X
 from lexisift.operators.tokens import term_frequencies
+from lexisift.operators.vectorize import vectorizer_model
 from lexisift.operators.vocabulary import document_frequencies
 
 LETTERS = "aAbBéÉßİΣσςÖ€§ \n\t\r\x0b\f0123456789.,-_'`~  漢😀ǅ\x85\x1c" + r"""()[]{}!?;:+="#@&*%$\/""" + "tTheinandIs " * 4
@@ -68,6 +70,15 @@ def test_pieces_do_not_change_what_is_found(monkeypatch):
         A.counted_words(pa.array([None], pa.string()), " ", stop)
 
 
+def test_a_vocabulary_is_handed_over_whole(spark):
+    control = [chr(c) for c in range(32)]
+    for terms in (["b", "", "a\nc", "é😀", "\x00"], [""], ["x", *control]):
+        own = vectorizer_model(spark, terms, "tokens", "tf")
+        plain = CountVectorizerModel.from_vocabulary(terms, "tokens", "tf")
+        assert own.vocabulary == plain.vocabulary == terms
+        assert {p.name: v for p, v in own.extractParamMap().items()} == {p.name: v for p, v in plain.extractParamMap().items()}
+
+
 def test_a_model_with_its_own_rules_is_left_alone(odd):
     spec = X.FeatureSpec(stop_words=(), min_df=1)
     rows = PipelineModel(X.token_stages(spec)).transform(odd)

@@ -83,3 +83,45 @@ def test_values_that_are_not_finite_are_refused(spark):
     bad = spark.createDataFrame([(0.0, Vectors.dense([1.0])), (1.0, Vectors.dense([float("nan")]))], ["label", "features"])
     with pytest.raises(Exception, match="finite"):
         T.fit_together([C.one_vs_rest(C.linear_svm())], bad)
+
+
+def test_a_search_is_measured_in_common_passes(rows, monkeypatch):
+    """The metrics of all points come from counts of their predictions, which are those of Spark's model."""
+    from lexisift.operators import search as S
+    labelled = rows.where("label is not null").withColumn("held_out", F.size(F.unwrap_udt("features").values) % 2 == 0)
+    stage = C.one_vs_rest(svm := C.linear_svm())
+    points = C.svm_grid(svm, [0.01, 1.0], [True, False], [3])
+    fitted = T.weights_together([stage.copy(p) for p in points], rows)
+    monkeypatch.setattr(T, "COLUMNS", 7)
+    counts = T.confusion_counts(labelled, "features", "label", fitted)
+    for model, found in zip(T.fit_together([stage.copy(p) for p in points], rows), counts, strict=True):
+        expected = model.transform(labelled).groupBy("label", "prediction").count().collect()
+        assert sorted(found) == sorted(tuple(map(float, row)) for row in expected)
+    by_rows = C.search(stage, points, labelled, [F.col("held_out")], predict=lambda model, part: model.transform(part))
+    monkeypatch.setattr(S, "_fitted", lambda last, *_, fit=S._fitted: fit(last, *_) if not made.append(last) else None)
+    made = []
+    by_counts = C.validate(stage, points, labelled, F.col("held_out"))
+    assert by_counts.avgMetrics == pytest.approx(by_rows.avgMetrics, abs=1e-12) and len(made) == 1
+    with pytest.raises(Exception, match="labels"):
+        T.confusion_counts(rows, "features", "label", fitted)
+
+
+def test_rows_of_a_label_share_blocks(monkeypatch):
+    """Columns that only one label has are not multiplied with the rows of others."""
+    n = 64
+    batch = pa.record_batch({"label": pa.array([i % 2 for i in range(n)], pa.float64()),
+                             "indices": pa.array([[i % 2 * 500 + i // 2] for i in range(n)], pa.list_(pa.int32())),
+                             "values": pa.array([[1.0]] * n, pa.list_(pa.float64()))})
+    monkeypatch.setattr(T, "CELLS", 16)
+    blocks = [pickle.loads(b.column(0)[0].as_py()) for b in T._packed(iter([batch]), 1000)]
+    assert sum(len(b[0]) for b in blocks) == n and all(len({*b[0]}) == 1 for b in blocks)
+
+
+def test_sums_are_the_same_by_driver_and_tree(rows, monkeypatch):
+    blocks = T.packed(rows, "features", "label", 8)
+    weights, intercepts, classes = np.arange(24.0).reshape(8, 3) / 7 - 1, np.array([0.1, 0.0, -0.3]), np.arange(3.0)
+    own = T.hinge_sums(blocks, weights, intercepts, classes)
+    monkeypatch.setattr(T, "DRIVER_BYTES", 0)
+    for a, b in zip(own, T.hinge_sums(blocks, weights, intercepts, classes), strict=True):
+        assert a == pytest.approx(b, rel=1e-12)
+    blocks.unpersist()
